@@ -14,10 +14,10 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_ts(text: Column | str) -> Column:
-    """ISO-8601 text (or a timestamp) as TIMESTAMP_NTZ in UTC; unreadable text gives null."""
+    """ISO-8601 text as TIMESTAMP_NTZ in UTC; unreadable text gives null."""
     text = _col(text)
-    offset = text.cast("string").rlike(r"T.*[+-]\d{2}:?\d{2}$")
-    shifted = utc_wall_time(text.cast("string").try_cast("timestamp"))
+    offset = ~text.endswith("Z") & text.rlike(r"T.*[+-]\d{2}:?\d{2}$")
+    shifted = utc_wall_time(text.try_cast("timestamp"))
     return F.when(offset, shifted).otherwise(text.try_cast("timestamp_ntz"))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from siltstone.operators.common import join_on
+
 
 def top_keys(df: DataFrame, key: str, n: int, weight: str | None = None) -> DataFrame:
     """The ``n`` keys with most rows (or the largest sum of ``weight``); ties by key."""
@@ -38,8 +40,28 @@ def pinned_or_top(
 def only_keys(df: DataFrame, groups: DataFrame, key: str, group: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key is in ``groups``, with its label if ``group`` is named.
 
-    ``groups`` is the bounded result of :func:`pinned_or_top`, so it is broadcast.
+    The null-safe join adds no filter below ``df``, so when ``groups`` was
+    computed from ``df`` both share one shuffle. ``groups`` has no null key.
     """
     if group is None:
-        return df.join(F.broadcast(groups.select(key)), key, "left_semi")
-    return df.join(F.broadcast(groups.select(key, group)), key, "inner")
+        return join_on(df, groups.select(key), [key], "left_semi")
+    return join_on(df, groups.select(key, group), [key], "inner")
+
+
+def pick_keys(df: DataFrame, key: str, n: int, pinned) -> list[Row]:
+    """(key, rows) of the pinned key, if it occurs, and of the top ``n``.
+
+    Runs a job that returns ``n + 1`` rows, for plans that filter by literal
+    keys (which reach the scan) or depend on how large the keys are.
+    """
+    is_pinned = F.coalesce(F.col(key) == F.lit(pinned), F.lit(False))
+    first = (
+        df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+        .orderBy(is_pinned.desc(), F.desc("rows"), F.col(key).asc_nulls_last())
+        .limit(n + 1)
+        .collect()
+    )
+    ranked = sorted(first, key=lambda r: (-r["rows"], r[key] is None, r[key]))
+    return [
+        r for r in first if r[key] is not None and (r[key] == pinned or r in ranked[:n])
+    ]

@@ -147,6 +147,15 @@ def gap_counts(
     )
 
 
+def pages_of(items: str, page_rows: int) -> Column:
+    """An array cut into arrays of at most ``page_rows``; null when it is empty."""
+    last = F.floor((F.size(items) - 1) / page_rows).cast("int")
+    pages = F.transform(
+        F.sequence(F.lit(0), last), lambda p: F.slice(items, p * page_rows + 1, F.lit(page_rows))
+    )
+    return F.when(F.size(items) > 0, pages)
+
+
 def ranked_pages(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -156,6 +165,7 @@ def ranked_pages(
     ties: Sequence[str] = (),
     out: str = "items",
     slice_rows: int = HEAVY_ROWS,
+    heavy: list[Row] | None = None,
 ) -> DataFrame:
     """Per key, all items by ``order_by`` descending as arrays of at most ``page_rows``.
 
@@ -164,7 +174,7 @@ def ranked_pages(
     """
     keys = as_list(keys)
     # Ascending slices of the negated value keep nulls last.
-    heavy = heavy_keys(df, keys, slice_rows)
+    heavy = heavy_keys(df, keys, slice_rows) if heavy is None else heavy
     rows = order_slices(
         df.withColumn("_neg", -F.col(order_by)), keys, "_neg", slice_rows, heavy
     ).withColumn("_item", item)

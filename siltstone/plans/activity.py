@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from siltstone import rules
 from siltstone.functions import label_ladder, lowered_text, month_of
 from siltstone.operators.common import as_time
-from siltstone.operators.keys import only_keys, pinned_or_top
-from siltstone.operators.skew import HEAVY_ROWS, exact_quantile, heavy_keys
+from siltstone.operators.keys import only_keys, pick_keys, pinned_or_top
+from siltstone.operators.skew import HEAVY_ROWS, exact_quantile
 from siltstone.operators.windows import gap_counts, latest_per_key
 from siltstone.session import workspace
 from siltstone.sources.landing import flatten_struct
@@ -47,7 +47,7 @@ def stage_pull_requests(
 
 
 def stage_releases(raw: DataFrame) -> DataFrame:
-    """Published releases, the latest per repository and tag."""
+    """Published releases, the latest per repository and tag (the highest id on equal dates)."""
     rows = flatten_struct(raw).filter(F.col("published_at").isNotNull()).select(
         F.col("repository_full_name").alias("repository"),
         "id",
@@ -61,7 +61,9 @@ def stage_releases(raw: DataFrame) -> DataFrame:
         F.col("prerelease").alias("is_prerelease"),
         "fetched_at",
     )
-    return latest_per_key(rows, ["repository", "tag"], "published_at", rank_col="row_num")
+    return latest_per_key(
+        rows, ["repository", "tag"], ["published_at", "id"], rank_col="row_num", break_ties=False
+    )
 
 
 def features(pull_requests: DataFrame, wanted: str = "feature") -> DataFrame:
@@ -127,13 +129,13 @@ def median_gap_vs_top(
 ) -> DataFrame:
     """Median days between consecutive events, for the pinned and the busiest keys.
 
-    A first pass counts keys; only the selected keys' rows are shuffled for the
-    gaps. These few keys are cut into time slices when they are large.
+    A first job counts the keys; the second reads only the selected ones, by a
+    filter that reaches the scan. Those that are large are cut into time slices.
     A key whose only second event is undated appears with a null median.
     """
-    groups = pinned_or_top(events, key, n, pinned, pinned_label, top_label, group="repo_group")
-    selected = only_keys(events.select(key, ts), groups, key)
-    heavy = heavy_keys(selected, key, slice_rows)
+    picked = pick_keys(events, key, n, pinned)
+    selected = events.select(key, ts).filter(F.col(key).isin([r[key] for r in picked]))
+    heavy = [r for r in picked if r["rows"] > slice_rows]
     gaps = gap_counts(selected, key, ts, slice_rows, "_gap", heavy)
     if heavy:
         # Several passes follow: keep the windows from running again in each.
@@ -146,5 +148,6 @@ def median_gap_vs_top(
     if digits is not None:
         result = result.withColumn(out, F.round(out, digits))
     if with_group:
-        result = only_keys(result, groups, key, "repo_group")
+        label = F.when(F.col(key) == F.lit(pinned), pinned_label).otherwise(top_label)
+        result = result.withColumn("repo_group", label)
     return result.orderBy(F.col(out).asc_nulls_last(), key)

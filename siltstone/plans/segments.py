@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from siltstone import rules
 from siltstone.functions import label_ladder, lowered_text, pct
 from siltstone.operators.common import join_on
-from siltstone.operators.skew import HEAVY_ROWS
-from siltstone.operators.windows import ranked_pages
+from siltstone.operators.skew import heavy_keys
+from siltstone.operators.windows import pages_of, ranked_pages
+
+# Groups with more examples than this are not gathered in one task.
+ARRAY_ROWS = 50_000
 
 Ladder = Sequence[tuple[str, Sequence[str]]]
 
@@ -88,7 +91,7 @@ def landscape(
     score_default: int = rules.COMPETITION_SCORE_DEFAULT,
     bonuses: Sequence[tuple[str, float, int]] = rules.SCORE_BONUSES,
     page_rows: int = 10_000,
-    slice_rows: int = HEAVY_ROWS,
+    slice_rows: int = ARRAY_ROWS,
 ) -> DataFrame:
     """Metrics, funded examples and priority score per competition level and type.
 
@@ -98,6 +101,18 @@ def landscape(
     """
     group = ["competition_level", "wallet_type"]
     funded = F.col("funding_category") == rules.FUNDED
+    example = F.struct(
+        "title",
+        F.col("amount_received").alias("funding_received"),
+        F.col("has_active_github").alias("has_github"),
+        F.col("github_repo_count").alias("github_repos"),
+    )
+    heavy = heavy_keys(segments.filter(funded), group, slice_rows)
+    # Groups of bounded size get their examples in the same aggregation.
+    listed = F.struct((-F.col("amount_received")).alias("_neg"), "id", example.alias("_item"))
+    gathered = [] if heavy else [
+        F.array_sort(F.collect_list(F.when(funded, listed))).alias("_items")
+    ]
     metrics = (
         segments.groupBy(*group)
         .agg(
@@ -108,26 +123,30 @@ def landscape(
             F.avg(F.when(funded, F.col("amount_received"))).alias("avg_funding_per_funded_project"),
             F.round(F.avg("approval_rate") * 100, 1).alias("avg_approval_rate"),
             F.round(F.avg("funding_ratio") * 100, 1).alias("avg_funding_ratio"),
+            *gathered,
         )
         .withColumns({
             "funding_success_rate": pct("funded_project_count", "project_count"),
             "github_adoption_rate": pct("projects_with_github", "project_count"),
         })
     )
-    example = F.struct(
-        "title",
-        F.col("amount_received").alias("funding_received"),
-        F.col("has_active_github").alias("has_github"),
-        F.col("github_repo_count").alias("github_repos"),
-    )
-    examples = ranked_pages(
-        segments.filter(funded).select(
-            *group, "id", "title", "amount_received", "has_active_github", "github_repo_count"
-        ),
-        group, "amount_received", example, page_rows, ["id"], "top_funded_examples", slice_rows,
-    ).withColumnRenamed("page", "examples_page")
+    if heavy:
+        examples = ranked_pages(
+            segments.filter(funded).select(
+                *group, "id", "title", "amount_received", "has_active_github",
+                "github_repo_count",
+            ),
+            group, "amount_received", example, page_rows, ["id"], "top_funded_examples",
+            slice_rows, heavy,
+        ).withColumnRenamed("page", "examples_page")
+        result = join_on(metrics, examples, group, "left")
+    else:
+        result = metrics.select(
+            "*", F.posexplode_outer(pages_of("_items._item", page_rows))
+            .alias("examples_page", "top_funded_examples"),
+        ).drop("_items")
     return (
-        join_on(metrics, examples, group, "left")
+        result
         .withColumn("examples_page", F.coalesce("examples_page", F.lit(0)))
         .withColumn(
             "strategic_priority_score",

@@ -55,8 +55,7 @@ staged_releases as (
     select * from (
         select *, row_number() over (
             partition by repository, tag
-            order by published_at desc, id desc, release_name desc, release_author desc,
-                     created_at desc, updated_at desc, is_draft desc, is_prerelease desc) as row_num
+            order by published_at desc, id desc) as row_num
         from (
             select 'supplier/' || l_suppkey as repository,
                 l_orderkey * 10 + l_linenumber as id,
