@@ -1,0 +1,111 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone.operators import incremental as inc
+
+NOW = datetime(2024, 1, 31)
+
+
+def rows(spark, *data):
+    return spark.createDataFrame(list(data), "id int, at string, note string")
+
+
+def test_upsert_takes_the_latest_and_is_idempotent(spark, values):
+    base = rows(spark, (1, "2024-01-01", "old"), (2, "2024-01-05", "kept"), (3, "2024-01-01", "base"))
+    new = rows(spark, (1, "2024-01-02", "new"), (2, "2024-01-04", "late"), (3, "2024-01-01", "update"),
+               (4, "2024-01-01", "added"))
+    once = inc.upsert(base, new, "id", "at")
+    expected = [(1, "2024-01-02", "new"), (2, "2024-01-05", "kept"),
+                (3, "2024-01-01", "update"), (4, "2024-01-01", "added")]
+    assert values(once) == expected
+    assert values(inc.upsert(once, new, "id", "at")) == expected
+    assert values(inc.merge_into(base, new, "id", "at")) == expected
+    assert values(inc.merge_into(once, new, "id", "at")) == expected
+
+
+def test_upsert_with_added_column_and_empty_sides(spark, values):
+    base = rows(spark, (1, "2024-01-01", "x"))
+    wider = base.withColumns({"id": F.lit(2), "extra": F.lit("e")})
+    for merge in (inc.upsert, inc.merge_into):
+        assert values(merge(base, wider, "id", "at")) == [
+            (1, "2024-01-01", "x", None), (2, "2024-01-01", "x", "e"),
+        ]
+        assert values(merge(base, base.limit(0), "id", "at")) == values(base)
+        assert values(merge(base.limit(0), base, "id", "at")) == values(base)
+
+
+def landed(spark):
+    return spark.createDataFrame(
+        [("fresh", "2024-01-30T00:00:00", None), ("edge", "2024-01-24T00:00:00Z", None),
+         ("stale", "2024-01-21T00:00:00", None), ("fallback", None, "2024-01-30T00:00:00"),
+         ("none", None, None)],
+        "repo string, fetched_at string, updated_at string",
+    )
+
+
+@pytest.mark.parametrize("inclusive,fresh", [
+    (False, {"fresh", "fallback"}), (True, {"fresh", "fallback", "edge"}),
+])
+def test_freshness(spark, inclusive, fresh):
+    found = inc.freshness(landed(spark), "repo", ["fetched_at", "updated_at"], NOW, 7, inclusive)
+    by_key = {r["repo"]: r for r in found.collect()}
+    assert {k for k, r in by_key.items() if r["is_fresh"]} == fresh
+    assert by_key["none"]["last_updated"] is None
+
+
+def test_freshness_without_any_time_column(spark):
+    found = inc.freshness(landed(spark).select("repo"), "repo", ["fetched_at"], NOW).collect()
+    assert len(found) == 5 and not any(r["is_fresh"] for r in found)
+
+
+def test_stale_keys_and_force(spark, values):
+    fresh = inc.freshness(landed(spark), "repo", ["fetched_at", "updated_at"], NOW)
+    keys = spark.createDataFrame([("fresh",), ("stale",), ("unknown",)], "repo string")
+    assert values(inc.stale_keys(keys, fresh, "repo")) == [("stale",), ("unknown",)]
+    assert inc.stale_keys(keys, fresh, "repo", force=True).count() == 3
+
+
+def test_since_keeps_newer_rows_and_unknown_keys(spark, values):
+    seen = spark.createDataFrame([("r", "2023-12-01T10:00:00Z")], "repo string, at string")
+    marks = inc.watermark(seen, "repo", "at")
+    batch = spark.createDataFrame(
+        [("r", "2023-12-02T10:00:00Z"), ("r", "2023-11-30T10:00:00Z"), ("r", "2023-12-01T10:00:00Z"),
+         ("other", "2020-01-01T00:00:00Z")],
+        "repo string, at string",
+    )
+    assert values(inc.since(batch, marks, "repo", "at")) == [
+        ("other", "2020-01-01T00:00:00Z"), ("r", "2023-12-02T10:00:00Z"),
+    ]
+
+
+def test_watermark_filter_and_base_make_the_full_load(spark, values):
+    full = rows(spark, *[(i, f"2024-01-{i:02d}", str(i)) for i in range(1, 21)])
+    full = full.withColumn("repo", F.lit("r"))
+    base = full.filter("at <= '2024-01-12'")
+    rest = inc.since(full, inc.watermark(base, "repo", "at"), "repo", "at")
+    assert rest.count() == 8
+    assert values(base.unionByName(rest)) == values(full)
+
+
+def test_state_rows_and_update(spark, values):
+    batch = spark.createDataFrame([("a/b",), ("a/b",), ("c/d",)], "repo string")
+    first = inc.state_rows(batch, "releases", datetime(2024, 1, 1), "repo")
+    second = inc.state_rows(batch.filter("repo = 'a/b'"), "releases", NOW, "repo", metadata={"rows": 2})
+    state = inc.update_state(first, second)
+    assert values(state, "pipeline_state_id", "last_updated", "rows") == [
+        ("releases#a/b", "2024-01-31T00:00:00+00:00", 2),
+        ("releases#c/d", "2024-01-01T00:00:00+00:00", None),
+    ]
+    whole = inc.state_rows(batch, "funds", NOW)
+    assert values(whole, "pipeline_state_id", "repository_name") == [("funds", None)]
+    assert inc.state_rows(batch.limit(0), "funds", NOW).count() == 0
+
+
+def test_run_manifest(spark):
+    row = inc.run_manifest(landed(spark), "governance", "full", NOW, "dev", {"prefix": "p"}).first()
+    assert row.asDict() == {
+        "source": "governance", "detail_type": "ingestion.complete", "env": "dev",
+        "pipeline": "full", "timestamp": "2024-01-31T00:00:00", "rows_landed": 5, "prefix": "p",
+    }
