@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.rules import FUNDED, REPORTED_CATEGORIES
@@ -35,7 +35,8 @@ def ecosystem_summary(
 ) -> DataFrame:
     """(section, name, count, total_amount): totals, largest categories, all statuses.
 
-    One aggregation over three grouping sets; the sections read its few rows.
+    The input is aggregated once, by category and status together; each of those
+    few cells then adds to its line of every section.
     """
     base = proposals.select(
         F.col(category).alias("_category"),
@@ -43,36 +44,37 @@ def ecosystem_summary(
         F.col(amount).alias("_amount"),
         F.coalesce(F.col(has_repo), F.lit(False)).alias("_repo"),
     )
-    funded = F.col("_status") == funded_status
-    cube = base.groupingSets(
-        [[], [F.col("_category")], [F.col("_status")]], F.col("_category"), F.col("_status")
-    ).agg(
-        F.grouping_id().alias("_set"),
-        F.count(F.lit(1)).alias("_count"),
-        F.sum("_amount").alias("_sum"),
+    cells = base.groupBy("_category", "_status").agg(
+        F.count(F.lit(1)).alias("_n"),
         F.count_if("_repo").alias("_with_repo"),
-        F.count_if(funded).alias("_funded"),
-        F.count_if(funded & F.col("_repo")).alias("_funded_repo"),
+        F.sum("_amount").alias("_sum"),
     )
-    # grouping_id: 3 = whole table, 1 = by category, 2 = by status.
-    no_amount = F.lit(None).cast(cube.schema["_sum"].dataType)
-    totals = cube.filter("_set = 3").select(
-        F.lit("totals").alias("section"),
-        F.expr(
-            "stack(4, 'total_proposals', _count, 'github_proposals', _with_repo, "
-            "'funded_proposals', _funded, 'funded_github_proposals', _funded_repo)"
-        ).alias("name", "count"),
-        no_amount.alias("total_amount"),
+    no_amount = F.lit(None).cast(cells.schema["_sum"].dataType)
+
+    def line(section: str, name: Column, count: Column, total: Column = no_amount) -> Column:
+        return F.struct(
+            F.lit(section).alias("section"), name.alias("name"),
+            count.alias("count"), total.alias("total_amount"),
+        )
+
+    funded = F.col("_status") == funded_status
+    rows, with_repo = F.col("_n"), F.col("_with_repo")
+    lines = (
+        cells.select(F.inline(F.array(
+            line("totals", F.lit("total_proposals"), rows),
+            line("totals", F.lit("github_proposals"), with_repo),
+            line("totals", F.lit("funded_proposals"), F.when(funded, rows).otherwise(0)),
+            line("totals", F.lit("funded_github_proposals"), F.when(funded, with_repo).otherwise(0)),
+            line("categories", F.col("_category"), rows),
+            line("funding_status", F.col("_status"), rows, F.col("_sum")),
+        )))
+        .groupBy("section", "name")
+        .agg(F.sum("count").alias("count"), F.sum("total_amount").alias("total_amount"))
     )
-    by_category = (
-        cube.filter("_set = 1")
-        .orderBy(F.desc("_count"), F.col("_category").asc_nulls_last())
+    is_category = F.col("section") == "categories"
+    largest = (
+        lines.filter(is_category)
+        .orderBy(F.desc("count"), F.col("name").asc_nulls_last())
         .limit(categories)
-        .select(F.lit("categories").alias("section"), F.col("_category").alias("name"),
-                F.col("_count").alias("count"), no_amount.alias("total_amount"))
-    )
-    by_status = cube.filter("_set = 2").select(
-        F.lit("funding_status").alias("section"), F.col("_status").alias("name"),
-        F.col("_count").alias("count"), F.col("_sum").alias("total_amount"),
     )
-    return totals.unionByName(by_category).unionByName(by_status)
+    return lines.filter(~is_category).unionByName(largest)

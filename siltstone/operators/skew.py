@@ -59,13 +59,15 @@ def order_slices(
     by: str,
     slice_rows: int = HEAVY_ROWS,
     heavy: list[Row] | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_slice``: 0 for light keys, 1, 2, .. in ascending ``by`` order for heavy ones.
 
     Equal values share a slice and a heavy key's nulls form its last one. The
     boundaries come from a quantile sketch, so they only affect how even the
     slices are, never the order between them. ``heavy`` saves the counting job
-    when the result of :func:`heavy_keys` is at hand.
+    when the result of :func:`heavy_keys` is at hand; ``source`` holds the rows
+    to sketch, when ``df`` was aggregated from them by a shuffle.
     """
     keys = as_list(keys)
     heavy = heavy_keys(df, keys, slice_rows) if heavy is None else heavy
@@ -82,14 +84,14 @@ def order_slices(
         lambda j: F.slice(F.col("cuts"), j * BLOCK + 1, F.lit(BLOCK)),
     )
     bounds = (
-        join_on(df.select(*keys, by), _as_frame(df, keys, heavy), keys, "inner")
+        join_on((df if source is None else source).select(*keys, by), _as_frame(df, keys, heavy), keys, "inner")
         .groupBy(*keys)
         .agg(
             F.max("heavy_rows").alias("n"),
             F.percentile_approx(by, grid, SKETCH_ACCURACY).alias("grid"),
         )
         .select(*keys, "grid", wanted.alias("wanted"))
-        .select(*keys, F.coalesce(cuts, F.expr("slice(grid, 1, 0)")).alias("cuts"))
+        .select(*keys, F.array_distinct(F.coalesce(cuts, F.expr("slice(grid, 1, 0)"))).alias("cuts"))
         .select(*keys, blocks.alias("_blocks"))
     )
     value = F.col(by)
@@ -140,14 +142,11 @@ def exact_quantile(
         return by_percentile(rows)
     listed = _as_frame(df, keys, heavy).drop("heavy_rows")
     light = by_percentile(join_on(rows, listed, keys, "left_anti"))
+    hot_rows = join_on(rows, listed, keys, "left_semi")
 
     count = F.sum(weight) if weight else F.count(F.lit(1))
-    freq = (
-        join_on(rows, listed, keys, "left_semi")
-        .groupBy(*keys, value)
-        .agg(count.cast("long").alias("_w"))
-    )
-    sliced = order_slices(freq, keys, value, slice_rows, heavy)
+    freq = hot_rows.groupBy(*keys, value).agg(count.cast("long").alias("_w"))
+    sliced = order_slices(freq, keys, value, slice_rows, heavy, hot_rows)
     whole = Window.partitionBy(*keys)
     position = (F.col("_total") - 1) * F.lit(float(q))
     cells = (

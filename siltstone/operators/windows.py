@@ -86,11 +86,13 @@ def with_previous(
     out: str = "prev_date",
     slice_rows: int = HEAVY_ROWS,
     heavy: list[Row] | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the previous ``ts`` of the same key (ascending, nulls last).
 
     Heavy keys are windowed slice by slice; only the first row of a slice looks
-    back, at the last row of the slice before it.
+    back, at the last row of the slice before it. For ``heavy`` and ``source``
+    see :func:`~siltstone.operators.skew.order_slices`.
     """
     keys = as_list(keys)
     heavy = heavy_keys(df, keys, slice_rows) if heavy is None else heavy
@@ -98,19 +100,22 @@ def with_previous(
         by_time = Window.partitionBy(*keys).orderBy(F.col(ts).asc_nulls_last())
         return df.withColumn(out, F.lag(ts).over(by_time))
     by_time = Window.partitionBy(*keys, SLICE).orderBy(F.col(ts).asc_nulls_last())
-    rows = order_slices(df, keys, ts, slice_rows, heavy).withColumns({
+    rows = order_slices(df, keys, ts, slice_rows, heavy, source).withColumns({
         out: F.lag(ts).over(by_time),
         "_nth": F.row_number().over(by_time),
-        "_last": F.lead(F.lit(True)).over(by_time).isNull(),
+        "_after": F.lead(F.lit(1), 1, 0).over(by_time),
     })
-    split, first = F.col(SLICE) > 0, F.col("_nth") == 1
+    # 0 for every row of a light key. As one number made of window results the
+    # test stays above the window, so that both parts share its shuffle.
+    is_first = F.when(F.col("_nth") == 1, F.col(SLICE)).otherwise(0)
+    is_edge = F.when((F.col("_nth") == 1) | (F.col("_after") == 0), F.col(SLICE)).otherwise(0)
     across = Window.partitionBy(*keys).orderBy(SLICE, "_nth")
     edges = (
-        rows.filter(split & (first | F.col("_last")))
+        rows.filter(is_edge > 0)
         .withColumn(out, F.lag(ts).over(across))
-        .filter(first)
+        .filter(F.col("_nth") == 1)
     )
-    return rows.filter(~split | ~first).unionByName(edges).drop(SLICE, "_nth", "_last")
+    return rows.filter(is_first == 0).unionByName(edges).drop(SLICE, "_nth", "_after")
 
 
 def gap_counts(
@@ -140,7 +145,7 @@ def gap_counts(
         ),
     ))
     return (
-        with_previous(marks, key, ts, "_prev", slice_rows, heavy)
+        with_previous(marks, key, ts, "_prev", slice_rows, heavy, df)
         .select(key, found.alias("_g"))
         .select(key, f"_g.{out}", F.col("_g.n").alias("gaps"))
         .filter(F.col("gaps") > 0)

@@ -1,0 +1,41 @@
+from siltstone.operators import quality, reports
+
+
+def test_checks_return_failing_rows(spark, values):
+    df = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (2, None), (None, "z"), (None, "a")], "id int, label string"
+    )
+    assert quality.not_null(df, "label").count() == 1
+    assert values(quality.unique(df, "id")) == [(1, 2)]
+    assert values(quality.accepted_values(df, "label", ["a", "b"])) == [(None, "z")]
+    assert values(quality.required_columns(df, ["id", "x", "y"])) == [("x",), ("y",)]
+    assert quality.required_columns(df, ["id"]).count() == 0
+    assert values(quality.null_counts(df, ["id", "label"])) == [("id", 2), ("label", 1)]
+    parent = spark.createDataFrame([(1,)], "pid int")
+    assert values(quality.orphans(df, parent, "id", "pid")) == [(2, None)]
+    report = quality.quality_report({
+        "id present": quality.not_null(df, "id"),
+        "labels listed": quality.accepted_values(df, "label", ["a", "b", "z"]),
+    })
+    assert values(report) == [("id present", 2, False), ("labels listed", 0, True)]
+
+
+def test_table_counts(spark, values):
+    got = reports.table_counts({"a": spark.range(3), "b": None, "c": spark.range(0)})
+    assert values(got) == [("a", 3), ("b", None), ("c", 0)]
+
+
+def test_ecosystem_summary(spark, values):
+    df = spark.createDataFrame(
+        [("DeFi", "funded", 10, True), ("DeFi", None, 5, False), ("NFT", "funded", 7, None),
+         ("Other", "pending", None, True), (None, "pending", 1, True)],
+        "primary_category string, funding_status string, amount_requested long, has_github boolean",
+    )
+    got = values(reports.ecosystem_summary(df, categories=2))
+    assert got == sorted([
+        ("totals", "total_proposals", 5, None), ("totals", "github_proposals", 3, None),
+        ("totals", "funded_proposals", 2, None), ("totals", "funded_github_proposals", 1, None),
+        ("categories", "DeFi", 2, None), ("categories", "NFT", 1, None),
+        ("funding_status", "funded", 2, 17), ("funding_status", "pending", 2, 1),
+        ("funding_status", "Unknown", 1, 5),
+    ], key=str)
