@@ -18,13 +18,16 @@ from siltstone.operators.common import as_list, join_on
 
 # A key with more rows than this is split.
 HEAVY_ROWS = 500_000
-# At most this many keys are split, so the broadcast is bounded. Any key left
-# out holds less than 1/20,000 of all rows.
+# At most this many keys are split; any key left out holds less than 1/20,000
+# of all rows.
 HEAVY_KEYS = 20_000
-# Most slices one key can get, and the block width of the two-step lookup.
-MAX_SLICES = 1_000
-BLOCK = 32
-SKETCH_ACCURACY = 10_000
+# Most slices of one key and of all keys together. With HEAVY_KEYS they bound
+# everything broadcast here: some 240,000 boundaries or slice rows.
+MAX_SLICES = 4_000
+TOTAL_SLICES = 200_000
+# Width of the blocks in the two-step lookup of a boundary.
+BLOCK = 64
+SKETCH_ACCURACY = 40_000
 
 SLICE = "_slice"
 
@@ -73,6 +76,7 @@ def order_slices(
     heavy = heavy_keys(df, keys, slice_rows) if heavy is None else heavy
     if not heavy:
         return df.withColumn(SLICE, F.lit(0))
+    slice_rows = max(slice_rows, sum(r[len(keys)] for r in heavy) // TOTAL_SLICES)
     grid = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
     wanted = F.least(F.ceil(F.col("n") / slice_rows).cast("int"), F.lit(MAX_SLICES))
     cuts = F.transform(

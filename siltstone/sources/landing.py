@@ -87,16 +87,24 @@ def read_proposals(
     now: datetime,
     fund_id: int | None = None,
     max_pages: int | None = None,
+    until_end: bool = True,
 ) -> DataFrame:
-    """Proposals of the pages up to the first that is empty or names no next page."""
+    """Proposals of the pages up to the first that is empty or names no next page.
+
+    Finding that page is a scan of its own; ``until_end=False`` spares it when
+    the landing holds nothing behind the end, as the API's client leaves it.
+    """
     raw = spark.read.schema(envelope(schemas.PROPOSALS)).json(f"{landing}/proposals")
     # A bare list has no page number and no links: it is the whole answer.
-    ends = F.col("data").isNotNull() & (
-        (F.size("data") == 0) | F.col("links.next").isNull()
-    )
-    last = raw.filter(ends).agg(F.min("page").alias("page"))
-    read = F.col("page").isNull() | last.scalar().isNull() | (F.col("page") <= last.scalar())
-    pages = raw.filter(read)
+    pages = raw
+    if until_end:
+        ends = F.col("data").isNotNull() & (
+            (F.size("data") == 0) | F.col("links.next").isNull()
+        )
+        last = raw.filter(ends).agg(F.min("page").alias("page"))
+        pages = raw.filter(
+            F.col("page").isNull() | last.scalar().isNull() | (F.col("page") <= last.scalar())
+        )
     if max_pages is not None:
         pages = pages.filter(F.col("page").isNull() | (F.col("page") <= max_pages))
     rows = unwrap(pages, schemas.PROPOSALS)
