@@ -25,6 +25,7 @@ HEAVY_KEYS = 20_000
 # everything broadcast here: some 240,000 boundaries or slice rows.
 MAX_SLICES = 4_000
 TOTAL_SLICES = 200_000
+GRID = ",".join(str(i / MAX_SLICES) for i in range(1, MAX_SLICES))
 # Width of the blocks in the two-step lookup of a boundary.
 BLOCK = 64
 SKETCH_ACCURACY = 40_000
@@ -77,7 +78,8 @@ def order_slices(
     if not heavy:
         return df.withColumn(SLICE, F.lit(0))
     slice_rows = max(slice_rows, sum(r[len(keys)] for r in heavy) // TOTAL_SLICES)
-    grid = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
+    # One constant instead of thousands of literals for the planner to visit.
+    grid = F.split(F.lit(GRID), ",").cast("array<double>")
     wanted = F.least(F.ceil(F.col("n") / slice_rows).cast("int"), F.lit(MAX_SLICES))
     cuts = F.transform(
         F.sequence(F.lit(1), F.col("wanted") - 1),

@@ -51,9 +51,10 @@ def cap_per_key(
 ) -> DataFrame:
     """At most ``n`` rows per key, highest by ``order_by`` first. ``None`` keeps all, 0 none.
 
-    Small caps are cut before the shuffle by Spark itself. Above its limit, a
-    first pass caps each of ``salts`` parts of a key, so the final ranking
-    sees no more than ``n * salts`` rows of one key.
+    Ranked twice: within (key, salt), where the salt groups input partitions,
+    then within the key over what is left. For usual caps Spark keeps ``n`` rows
+    per key and task before the first shuffle; the second sees ``n * salts`` of
+    one key at most, so a hot key is never ranked whole in one task.
     """
     if n is None:
         return df
@@ -70,13 +71,8 @@ def cap_per_key(
         rank = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
         return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
-    built_in = int(
-        df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    )
-    if n > built_in:
-        salt = F.pmod(F.xxhash64(*orderable(df, skip=keys)), F.lit(salts))
-        df = first_n(df.withColumn("_salt", salt), [*keys, "_salt"]).drop("_salt")
-    return first_n(df, keys)
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    return first_n(first_n(salted, [*keys, "_salt"]).drop("_salt"), keys)
 
 
 def with_previous(

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 LONG, TEXT, REAL, BOOL = T.LongType(), T.StringType(), T.DoubleType(), T.BooleanType()
 
 
@@ -65,9 +64,13 @@ SEED_REPOSITORIES = _struct(
 
 def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> DataFrame:
     """``df`` with every column of ``schema``: cast where present, null where missing."""
-    wanted = [
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ]
-    extra = [F.col(c) for c in df.columns if c not in schema.fieldNames()] if keep_extra else []
-    return df.select(*wanted, *extra)
+    present = {f.name: f.dataType for f in df.schema.fields}
+
+    def wanted(field: T.StructField) -> Column:
+        if present.get(field.name) == field.dataType:
+            return F.col(field.name)
+        source = F.col(field.name) if field.name in present else F.lit(None)
+        return source.cast(field.dataType).alias(field.name)
+
+    extra = [c for c in present if c not in schema.fieldNames()] if keep_extra else []
+    return df.select(*[wanted(f) for f in schema.fields], *extra)

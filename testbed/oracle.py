@@ -149,6 +149,10 @@ ORACLE["median_gap_releases"] = f"""with {STAGED_RELEASES},
 {vs_top('release_times', 'repository', "'supplier/3'", 10)},
 {median_gap('repository', 'published_at', 2, 'median_days_between_releases')}"""
 
+ORACLE["positional_group_by"] = """select event_type,
+    cast(date_trunc('month', ts) as timestamp) as month, count(*) as n, max(value) as highest
+from events group by 1, 2 order by 2, 1"""
+
 # --- windows and quantiles ---------------------------------------------------
 
 LINE_ORDER = """l_shipdate desc, l_partkey desc, l_suppkey desc, l_quantity desc,
@@ -177,6 +181,9 @@ gaps as (
 select repository, days_diff, count(*) as gaps from gaps
 where days_diff is not null group by 1, 2"""
 
+ORACLE["previous_event_sliced"] = ORACLE["previous_event"]
+ORACLE["gap_counts_sliced"] = ORACLE["gap_counts"]
+
 QUANTILE = """select l_returnflag, l_linestatus,
     round(quantile_cont(cast(round(l_extendedprice * 100) as bigint), 0.9), 4) as p90
 from lineitem group by 1, 2"""
@@ -269,7 +276,8 @@ staged as (
             as amount_received,
         case when o_orderpriority = '1-URGENT' then 'approved'
              when o_orderpriority = '2-HIGH' then 'pending' else o_orderpriority end as funding_status,
-        yes_votes, yes_votes + no_votes + abstain_votes as total_votes,
+        o_custkey as user_id, yes_votes, no_votes, abstain_votes,
+        yes_votes + no_votes + abstain_votes as total_votes,
         o_orderstatus <> 'P' as has_github, links as github_repo_count,
         c_mktsegment as primary_category,
         '[' || c_mktsegment || ', ' || o_orderpriority || ']' as categories,
@@ -299,6 +307,13 @@ enriched as (
     from texts
 )"""
 
+ORACLE["staged_proposals"] = f"""with {ENRICHED}
+select id, user_id, fund_id, fund_name, title, problem, solution, amount_requested, amount_received,
+    funding_status, yes_votes as yes_votes_count, no_votes as no_votes_count,
+    abstain_votes as abstain_votes_count, cast(null as bigint) as unique_wallets_voted, has_github,
+    categories, cast(null as varchar) as proposal_type, _loaded_at, 'governance_api' as _source
+from staged"""
+
 ORACLE["enrich_proposals"] = f"""with {ENRICHED}
 select id, fund_id, fund_name, title, amount_requested, amount_received, funding_status,
     funding_category, cast(funding_ratio as double) as funding_ratio, total_votes, approval_rate,
@@ -394,7 +409,7 @@ from metrics m left join pages p
 
 
 ORACLE["landscape"] = landscape(10_000)
-ORACLE["landscape_paged"] = landscape(25)
+ORACLE["landscape_paged"] = ORACLE["landscape_sliced"] = landscape(25)
 
 ORACLE["map_entity_links"] = """with staged as (
     select page_id as id, case when url like 'https%' then url end as website, url as link from pages

@@ -126,6 +126,17 @@ def median_gap_releases(spark, sf):
     )
 
 
+@query
+def positional_group_by(spark, sf):
+    """Grouping and ordering by position, as SQL text."""
+    return spark.sql(
+        """select event_type, cast(trunc(cast(ts as date), 'MM') as timestamp_ntz) as month,
+               count(*) as n, max(value) as highest
+           from {events} group by 1, 2 order by 2, 1""",
+        events=table(spark, sf, "events"),
+    )
+
+
 # --- windows and quantiles ---------------------------------------------------
 
 
@@ -135,17 +146,35 @@ def latest_per_key(spark, sf):
     return windows.latest_per_key(lines, ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
+def _previous_event(spark: SparkSession, sf: str, **sizes: int) -> DataFrame:
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    return windows.with_previous(events, "event_type", "ts", **sizes)
+
+
 @query
 def previous_event(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
-    return windows.with_previous(events, "event_type", "ts", slice_rows=SMALL_SLICE)
+    return _previous_event(spark, sf)
+
+
+@query
+def previous_event_sliced(spark, sf):
+    return _previous_event(spark, sf, slice_rows=SMALL_SLICE)
 
 
 @query
 def gap_counts(spark, sf):
+    return _gap_counts(spark, sf)
+
+
+@query
+def gap_counts_sliced(spark, sf):
+    return _gap_counts(spark, sf, slice_rows=SMALL_SLICE)
+
+
+def _gap_counts(spark: SparkSession, sf: str, **sizes: int) -> DataFrame:
     """Gaps between order dates per nation: many orders share a day."""
     gaps = windows.gap_counts(
-        roles.feature_orders(spark, sf), "repository", "closed_at", slice_rows=SMALL_SLICE
+        roles.feature_orders(spark, sf), "repository", "closed_at", **sizes
     )
     return gaps.groupBy("repository", "days_diff").agg(F.sum("gaps").alias("gaps"))
 
@@ -268,6 +297,16 @@ def staged_funds(spark, sf):
     )
 
 
+@query
+def staged_proposals(spark, sf):
+    return _staged(spark, sf).select(
+        "id", "user_id", "fund_id", "fund_name", "title", "problem", "solution",
+        "amount_requested", "amount_received", "funding_status", "yes_votes_count",
+        "no_votes_count", "abstain_votes_count", "unique_wallets_voted", "has_github",
+        "categories", "proposal_type", "_loaded_at", "_source",
+    )
+
+
 @query
 def enrich_proposals(spark, sf):
     return _enriched(spark, sf).select(
@@ -331,6 +370,11 @@ def landscape(spark, sf):
 
 @query
 def landscape_paged(spark, sf):
+    return _landscape(spark, sf, page_rows=25)
+
+
+@query
+def landscape_sliced(spark, sf):
     return _landscape(spark, sf, page_rows=25, slice_rows=60)
 
 

@@ -65,8 +65,8 @@ def proposals(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if(F.col("l_returnflag") == "A").alias("no_votes_count"),
         F.count_if(F.col("l_returnflag") == "N").alias("abstain_votes_count"),
         F.min("l_partkey").alias("first_part"),
-        # A few line numbers per order, however many lines it has.
-        F.array_sort(F.collect_set("l_linenumber")).alias("numbers"),
+        # The line numbers that occur, as bits: no list per order to build up.
+        F.bit_or(F.expr("shiftleft(1L, l_linenumber)")).alias("numbers"),
     )
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     part = table(spark, sf, "part").select("p_partkey", "p_name")
@@ -91,9 +91,12 @@ def proposals(spark: SparkSession, sf: str) -> DataFrame:
             .otherwise(F.col("o_orderpriority")).alias("funding_status"),
             "yes_votes_count", "no_votes_count", "abstain_votes_count",
             (F.col("o_orderstatus") != "P").alias("has_github"),
-            F.transform(
-                "numbers", lambda n: F.concat(F.lit("https://github.com/org/line"), n)
-            ).alias("github_links"),
+            F.when(F.col("numbers").isNotNull(), F.transform(
+                F.filter(
+                    F.sequence(F.lit(1), F.lit(31)), lambda n: F.getbit(F.col("numbers"), n) == 1
+                ),
+                lambda n: F.concat(F.lit("https://github.com/org/line"), n),
+            )).alias("github_links"),
             F.col("c_mktsegment").alias("primary_category"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("ingested_at"),
             F.concat(F.lit("["), "c_mktsegment", F.lit(", "), "o_orderpriority", F.lit("]"))
