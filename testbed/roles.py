@@ -36,8 +36,15 @@ PRIORITY_RULES = [
 SEGMENT_COUNTS = {"building_projects": "BUILDING", "urgent_projects": "1-URGENT"}
 
 
+# Schemas already read from a table's footer, by path.
+_SCHEMAS: dict[str, schemas.T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def cents(amount: str) -> Column:
