@@ -43,11 +43,11 @@ def merge_into(
     keys are small enough for Spark to broadcast them.
     """
     keys = as_list(keys)
-    fresh = latest_per_key(updates, keys, order_by)
-    touched = join_on(base, fresh.select(*keys), keys, "left_semi")
-    untouched = join_on(base, fresh.select(*keys), keys, "left_anti")
+    arriving = updates.select(*keys)
+    touched = join_on(base, arriving, keys, "left_semi")
+    untouched = join_on(base, arriving, keys, "left_anti")
     return untouched.unionByName(
-        upsert(touched, fresh, keys, order_by), allowMissingColumns=True
+        upsert(touched, updates, keys, order_by), allowMissingColumns=True
     )
 
 

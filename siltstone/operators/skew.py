@@ -81,6 +81,7 @@ def order_slices(
     # One constant instead of thousands of literals for the planner to visit.
     grid = F.split(F.lit(GRID), ",").cast("array<double>")
     wanted = F.least(F.ceil(F.col("n") / slice_rows).cast("int"), F.lit(MAX_SLICES))
+    wanted = F.greatest(wanted, F.lit(2))
     cuts = F.transform(
         F.sequence(F.lit(1), F.col("wanted") - 1),
         lambda i: F.col("grid")[F.floor(i * MAX_SLICES / F.col("wanted")).cast("int") - 1],

@@ -114,6 +114,22 @@ def with_previous(
     return rows.filter(is_first == 0).unionByName(edges).drop(SLICE, "_nth", "_after")
 
 
+def gaps(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    ts: str,
+    out: str = "days_diff",
+    slice_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Rows that follow another of their key, with the days since it."""
+    rows = with_previous(df, keys, ts, "_prev", slice_rows)
+    return (
+        rows.filter(F.col("_prev").isNotNull())
+        .withColumn(out, days_between("_prev", ts))
+        .drop("_prev")
+    )
+
+
 def gap_counts(
     df: DataFrame,
     key: str,

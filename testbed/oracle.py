@@ -169,6 +169,10 @@ for _name in ("latest_per_key", "upsert_latest", "merge_into_latest"):
 ORACLE["previous_event"] = """select event_id, event_type, ts,
     lag(ts) over (partition by event_type order by ts) as prev_date from events"""
 
+ORACLE["event_gaps"] = """select event_id, user_id, ts, (epoch_us(ts) - epoch_us(prev)) / 86400e6 as days_diff
+from (select *, lag(ts) over (partition by user_id order by ts) as prev from events)
+where prev is not null"""
+
 ORACLE["gap_counts"] = """with prs as (
     select 'nation/' || c_nationkey as repository, o_orderdate as closed_at
     from orders join customer on o_custkey = c_custkey

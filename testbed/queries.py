@@ -161,6 +161,12 @@ def previous_event_sliced(spark, sf):
     return _previous_event(spark, sf, slice_rows=SMALL_SLICE)
 
 
+@query
+def event_gaps(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    return windows.gaps(events, "user_id", "ts")
+
+
 @query
 def gap_counts(spark, sf):
     return _gap_counts(spark, sf)

@@ -109,3 +109,26 @@ def test_run_manifest(spark):
         "source": "governance", "detail_type": "ingestion.complete", "env": "dev",
         "pipeline": "full", "timestamp": "2024-01-31T00:00:00", "rows_landed": 5, "prefix": "p",
     }
+
+
+def test_merge_into_broadcasts_small_updates_and_keeps_the_base_in_place(spark, tmp_path):
+    path = str(tmp_path / "base")
+    spark.range(1000).selectExpr("id", "'2024-01-01' as at", "'x' as note").write.parquet(path)
+    base = spark.read.parquet(path)
+    updates = rows(spark, (5, "2024-01-02", "new")).withColumn("id", F.col("id").cast("long"))
+    small = str(tmp_path / "updates")
+    updates.write.parquet(small)
+    merged = inc.merge_into(base, spark.read.parquet(small), "id", "at")
+    assert merged.count() == 1000
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    untouched = plan[:plan.index("LeftSemi")]
+    assert "BroadcastHashJoin" in untouched and "LeftAnti" in untouched
+    assert "SortMergeJoin" not in plan
+
+
+def test_merge_of_null_keys(spark, values):
+    base = rows(spark, (None, "2024-01-01", "old"), (1, "2024-01-01", "kept"))
+    new = rows(spark, (None, "2024-01-02", "new"))
+    assert values(inc.merge_into(base, new, "id", "at")) == [
+        (1, "2024-01-01", "kept"), (None, "2024-01-02", "new"),
+    ]

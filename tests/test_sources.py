@@ -54,6 +54,12 @@ def test_proposal_pages(spark, tmp_path, pages, max_pages, fund, expected):
     assert sorted(r["id"] for r in df.collect()) == expected
 
 
+def test_proposals_without_looking_for_the_end(spark, tmp_path):
+    land(tmp_path, "proposals", [page(1, [1], last=True), page(2, [2])])
+    df = landing.read_proposals(spark, str(tmp_path), NOW, until_end=False)
+    assert sorted(r["id"] for r in df.collect()) == [1, 2]
+
+
 def test_proposals_as_one_list(spark, tmp_path):
     land(tmp_path, "proposals", [[{"id": 1, "embedded_uris": [["https://github.com/a/b"]]}, {"id": 2}]])
     df = landing.read_proposals(spark, str(tmp_path), NOW, max_pages=1)

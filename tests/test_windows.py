@@ -97,6 +97,13 @@ def test_slices_follow_the_order(events):
     assert max(sizes.values()) <= 100
 
 
+def test_slices_of_all_keys_share_a_budget(events, monkeypatch):
+    _, df = events
+    monkeypatch.setattr(skew, "TOTAL_SLICES", 6)
+    rows = skew.order_slices(df, "k", "v", slice_rows=10).collect()
+    assert len({(r["k"], r["_slice"]) for r in rows}) <= 6 + 6
+
+
 def test_light_keys_are_not_split(events):
     _, df = events
     rows = skew.order_slices(df, "k", "v", slice_rows=800).collect()
@@ -128,6 +135,20 @@ def test_pages_of(spark):
     assert row[1] is None
 
 
+def test_heavy_keys_without_any_time_or_with_one_instant(spark):
+    rows = [("none", None, i) for i in range(50)] + [("same", START, i) for i in range(50)]
+    rows += [("nan", START + timedelta(days=i % 3), i) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v int")
+    got = windows.with_previous(df, "k", "ts", "prev", 5).select("k", "ts", "prev").collect()
+    wanted = previous_by_hand([(v, k, at, v) for k, at, v in rows])
+    assert Counter(tuple(r) for r in got) == wanted
+    value = F.when(F.col("k") == "nan", F.lit(float("nan"))).otherwise(F.col("v").cast("double"))
+    nulls = df.withColumn("x", F.when(F.col("k") != "none", value))
+    found = {r["k"]: r["m"] for r in skew.exact_quantile(nulls, "k", "x", 0.5, "m", slice_rows=5).collect()}
+    assert set(found) == {"same", "nan"}
+    assert found["same"] == 24.5 and np.isnan(found["nan"])
+
+
 def test_latest_per_key(spark, values):
     df = spark.createDataFrame(
         [("r", "v1", "2024-01-01", 1), ("r", "v1", "2024-02-01", 2), ("r", "v1", None, 3),
