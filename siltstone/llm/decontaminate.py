@@ -18,7 +18,7 @@ from siltstone.llm.common import rows_of, same_row, save
 
 WINDOW = 13
 SHINGLE = 5
-# Largest number of windows whose shingles are sent to every task (some 60 bytes each).
+# Largest number of windows, by item, that are sent to every task (some 100 bytes each).
 SENT = 200_000
 
 # What separates words, and the letters that are lowered.
@@ -44,7 +44,7 @@ def _positions(n: Column) -> Column:
 
 
 def item_windows(items: DataFrame, item_col: str, text_col: str, size: int) -> DataFrame:
-    """(window_id, words, item_ids): every distinct window once, with the items it stands in."""
+    """(item_id, words, window_id): the distinct windows of every item."""
     rows = items.select(F.col(item_col).alias("item_id"), words(text_col).alias("w")).filter(F.size("w") > 0)
     starts = rows.select("item_id", "w", _positions(F.greatest(F.size("w") - (size - 1), F.lit(1))).alias("i"))
     cut = starts.select("item_id", F.slice("w", F.col("i") + 1, F.lit(size)).alias("words"))
@@ -69,7 +69,7 @@ def contaminated(
     rows = rows_of(docs, id_col, text_col).withColumn("w", words("text")).drop("text")
     pairs = item_windows(items, item_col, item_text, size)
     windows = pairs.select("window_id", "words").distinct()
-    few = windows.limit(SENT + 1).count() <= SENT
+    few = pairs.limit(SENT + 1).count() <= SENT
 
     def sent(side: DataFrame) -> DataFrame:
         return F.broadcast(side) if few else side
