@@ -127,6 +127,8 @@ def distance_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
     if max(n, m) - int(bag) > most:
         return False
     a, b = counts[:n], counts[n:]
+    if max(n, m) <= BIT_WORDS:
+        return _banded_bits(a.tolist(), b.tolist(), most)
     band = 8
     while True:
         band = min(band, most)
@@ -137,6 +139,41 @@ def distance_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
         band *= 4
 
 
+# Up to here a column of the band is one integer; its masks grow with the square of the length.
+BIT_WORDS = 50_000
+
+
+def _banded_bits(a: list[int], b: list[int], most: int) -> bool:
+    """Edit distance at most ``most``: the band's columns as bit vectors of their differences.
+
+    Bit t of column c stands for row c - most + t. ``up`` and ``down`` hold the
+    rows where the table grows or falls by one from the row before.
+    """
+    n, m = len(a), len(b)
+    if abs(n - m) > most:
+        return False
+    full = (1 << (2 * most + 1)) - 1
+    masks: dict[int, int] = {}
+    for i, w in enumerate(a):
+        masks[w] = masks.get(w, 0) | 1 << (i + most)
+    up, down = full >> most << most, 0
+    top, diagonal = 1 << (2 * most), n - most
+    score = min(n, most)
+    for c, w in enumerate(b, 1):
+        match = masks.get(w, 0) >> (c - 1) & full
+        level = (((match & up) + up) ^ up | match | down) & full
+        right = down | full & ~(level | up)
+        left = level & up
+        if c <= diagonal:
+            score += not level & top
+        else:
+            bit = 1 << (n - c + most)
+            score += bool(right & bit) - bool(left & bit)
+        up = left | full & ~(level >> 1 | right)
+        down = level >> 1 & right
+    return score <= most
+
+
 def _banded(a: np.ndarray, b: np.ndarray, most: int) -> bool:
     """Edit distance at most ``most``, over the cells with |i - j| <= most."""
     n, m = len(a), len(b)
@@ -188,6 +225,14 @@ def _verify(least: float):
     return run
 
 
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different groups."""
+    x = groups.select(F.col("node").alias("a"), F.col("root").alias("x"))
+    y = groups.select(F.col("node").alias("b"), F.col("root").alias("y"))
+    told = pairs.join(x, "a", "left").join(y, "b", "left")
+    return told.filter(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     k: int = K, taken: int = TAKEN, count: int = SKETCHES, least: float = SIMILARITY,
@@ -201,18 +246,20 @@ def near_duplicates(
     empty ones too) is grouped with equal texts only; a null text with no other
     row. Groups with null ids only have a null class_id.
 
-    Candidates share a sketch. In each bucket every class is verified against
-    the least one; then classes of one bucket that are still in different
-    groups are verified against each other, so no link within a bucket is lost,
-    and a bucket of true copies costs one comparison per member.
+    Candidates share a sketch. A class is verified against the least one that it
+    meets in any bucket, then, if still apart from them, against the least ones
+    of its other buckets; at last classes of one bucket that are still in
+    different groups are verified against each other. So no link within a bucket
+    is lost, and a group of true copies costs about one comparison per member.
     """
     texts = rows_of(docs, id_col, text_col)
     rows = save(texts.mapInArrow(
         _sketch_rows(k, taken, count), "doc_id long, th long, none boolean, n int, bands array<long>"), "sketches")
-    classes = rows.filter("not none").groupBy("th").agg(F.min("doc_id").alias("id"))
+    classes = save(rows.filter("not none").groupBy("th").agg(
+        F.min("doc_id").alias("id"), F.max("n").alias("n")), "classes")
     links = _links(texts, rows, classes, least)
     groups = components(links)
-    named = classes.join(groups, classes["th"] == groups["node"], "left").select(
+    named = classes.drop("n").join(groups, classes["th"] == groups["node"], "left").select(
         "th", "id", F.coalesce("root", "th").alias("root"))
     named = save(named, "classes")
     first = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "th")).alias("f"))
@@ -246,12 +293,15 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, least: float)
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
         return save(both.mapInArrow(_verify(least), "a long, b long"), "links")
 
-    sizes = rows.select(F.col("th").alias("pivot"), F.col("n").alias("m")).distinct()
+    sizes = classes.select(F.col("th").alias("pivot"), F.col("n").alias("m"))
     fits = F.least("n", "m") >= F.greatest("n", "m") * least - 1e-6
-    stars = members.filter("th <> pivot").join(sizes, "pivot").filter(fits)
-    tried = save(stars.select(F.col("pivot").alias("a"), F.col("th").alias("b")).distinct(), "pairs")
-    links = verified(tried)
+    stars = members.filter("th <> pivot").select("pivot", "th", "n").distinct()
+    stars = save(stars.join(sizes, "pivot").filter(fits).select(F.col("pivot").alias("a"), F.col("th").alias("b")), "pairs")
+    # One comparison per class joins nearly all; then what stands apart of its other buckets' least ones.
+    links = verified(save(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs"))
+    links = save(links.unionByName(verified(save(_apart(stars, components(links)), "pairs"))), "links")
     groups = components(links)
+    tried = stars
     told = members.join(groups, members["th"] == groups["node"], "left").select(
         "band", "th", "n", F.coalesce("root", "th").alias("root"))
     told = save(told, "members")

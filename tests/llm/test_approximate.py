@@ -135,7 +135,9 @@ def test_alignment_against_the_full_table():
                 b.pop(min(k, len(b) - 1))
         most = int(rng.integers(0, 12))
         x, y = np.array(a, np.uint64), np.array(b, np.uint64)
-        assert near.distance_within(x, y, most) == (distance(a, b) <= most)
+        want = distance(a, b) <= most
+        assert near.distance_within(x, y, most) == want
+        assert near._banded(x, y, most) == want and near._banded_bits(a, b, most) == want
 
 
 def test_order_matters_to_a_sketch():
