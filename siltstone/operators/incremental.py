@@ -106,9 +106,10 @@ def since(
 ) -> DataFrame:
     """Rows newer than their key's mark; a key without mark keeps all its rows.
 
-    ``ts`` must be the column the marks were taken from.
+    ``ts`` must be the column the marks were taken from. Rows without a time
+    pass: nothing says that they were seen.
     """
-    newer = F.col(mark).isNull() | (as_time(df, ts) > F.col(mark))
+    newer = F.col(mark).isNull() | as_time(df, ts).isNull() | (as_time(df, ts) > F.col(mark))
     return join_on(df, marks, as_list(key), "left").filter(newer).drop(mark)
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.rules import FUNDED, REPORTED_CATEGORIES
+from siltstone.rules import FUNDED
 
 
 def table_counts(tables: Mapping[str, DataFrame | None]) -> DataFrame:
@@ -31,9 +31,9 @@ def ecosystem_summary(
     amount: str = "amount_requested",
     has_repo: str = "has_github",
     funded_status: str = FUNDED,
-    categories: int = REPORTED_CATEGORIES,
+    categories: int | None = None,
 ) -> DataFrame:
-    """(section, name, count, total_amount): totals, largest categories, all statuses.
+    """(section, name, count, total_amount): totals, all categories (or the largest ones), all statuses.
 
     The input is aggregated once, by category and status together; each of those
     few cells then adds to its line of every section.
@@ -71,6 +71,8 @@ def ecosystem_summary(
         .groupBy("section", "name")
         .agg(F.sum("count").alias("count"), F.sum("total_amount").alias("total_amount"))
     )
+    if categories is None:
+        return lines
     is_category = F.col("section") == "categories"
     largest = (
         lines.filter(is_category)

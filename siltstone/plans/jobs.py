@@ -1,8 +1,11 @@
 """Whole runs: ingest a landing folder, then build the layers on it.
 
 Loaded tables are upsert logs (``<table>/batch=<run>``): a run appends what is
-new and never rewrites what is stored, and running it again for the same time
-replaces its own batch. :func:`current` resolves a log to one row per key.
+new and never rewrites what is stored. What is fresh and where the watermarks
+stand follows from other runs only, so running it again for the same time, also
+after half a run, reads the same rows and replaces its own batch by them. A run
+that was capped, or has no manifest row yet, doesn't count as loaded for an
+uncapped one. :func:`current` resolves a log to one row per key.
 """
 
 from __future__ import annotations
@@ -23,12 +26,13 @@ from siltstone.sources import landing, tables
 from siltstone.sources.landing import REPOSITORY
 from siltstone.streaming.jobs import BATCH, read_upserts
 
-# Code-host resources: their repository column, watermark column and cap.
+# Code-host resources: their repository column, watermark column, cap, and
+# whether fresh repositories are skipped.
 RESOURCES = {
-    "repositories": ("full_name", None, None),
-    "pull_requests": (REPOSITORY, "updated_at", "max_prs"),
-    "releases": (REPOSITORY, "published_at", "max_releases"),
-    "issues": (REPOSITORY, None, "max_prs"),
+    "repositories": ("full_name", None, None, True),
+    "pull_requests": (REPOSITORY, "updated_at", "max_prs", True),
+    "releases": (REPOSITORY, "published_at", "max_releases", True),
+    "issues": (REPOSITORY, None, "max_prs", False),
 }
 
 
@@ -53,6 +57,29 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _record(manifest: DataFrame, root: str, name: str, now: datetime) -> None:
+    """The manifest row of a run; a repeated run replaces its own."""
+    tables.full_load(manifest, f"{root}/manifest/table={name}/{BATCH}={_batch(now)}")
+
+
+def _loaded_before(
+    spark: SparkSession, root: str, name: str, now: datetime, cap: str | None, environment: str
+) -> DataFrame | None:
+    """The log without this run's batch and, for an uncapped run, without capped and unfinished ones."""
+    stored = _stored(spark, f"{root}/raw/{name}")
+    if stored is None:
+        return None
+    stored = stored.filter(F.col(BATCH) != _batch(now))
+    if cap is None or landing.limits(environment)[cap] is not None:
+        return stored
+    finished = _stored(spark, f"{root}/manifest")
+    if finished is None:
+        return None
+    whole = [e for e in rules.LIMITS if landing.limits(e)[cap] is None]
+    runs = finished.filter((F.col("table") == name) & F.col("env").isin(whole)).select(BATCH).distinct()
+    return stored.join(runs, BATCH, "left_semi")
+
+
 def current(spark: SparkSession, path: str, order_by: Sequence[str]) -> DataFrame:
     return read_upserts(spark, path, "id", order_by)
 
@@ -60,20 +87,21 @@ def current(spark: SparkSession, path: str, order_by: Sequence[str]) -> DataFram
 def ingest_governance(
     spark: SparkSession, source: str, root: str, now: datetime, environment: str = "prod"
 ) -> dict[str, DataFrame]:
-    """Full dump of funds and proposals, with a manifest row after both."""
+    """Full dump of funds and proposals, with a manifest row after both.
+
+    The dump is merged by id: a run with fewer pages adds to what is stored.
+    """
     pages = landing.limits(environment)["max_pages"]
     loaded = {
         "funds": landing.read_funds(spark, source, now),
         "proposals": landing.read_proposals(spark, source, now, max_pages=pages),
     }
     stored = {
-        name: tables.full_load(latest_per_key(rows, "id", "ingested_at"), f"{root}/raw/{name}")
+        name: _load(rows, f"{root}/raw/{name}", now, ["ingested_at"])
         for name, rows in loaded.items()
     }
     for name, rows in stored.items():
-        tables.append(
-            inc.run_manifest(rows, "governance", name, now, environment), f"{root}/manifest"
-        )
+        _record(inc.run_manifest(rows, "governance", name, now, environment), root, name, now)
     return stored
 
 
@@ -82,13 +110,20 @@ def ingest_code_host(
     source: str,
     root: str,
     now: datetime,
-    repositories: Sequence[str] = tuple(rules.DEFAULT_REPOSITORIES),
+    repositories: Sequence[str] | None = None,
     environment: str = "prod",
     force: bool = False,
     days: float = rules.FRESHNESS_DAYS,
 ) -> dict[str, DataFrame]:
-    """New rows of every stale repository, per resource; state follows from what landed."""
+    """New rows of every stale repository, per resource; state follows from what landed.
+
+    Issues are read in every run. Without ``repositories`` the default ones are
+    loaded, or the sample ones in the sample environment.
+    """
     caps = landing.limits(environment)
+    if repositories is None:
+        sample = environment == "sample"
+        repositories = rules.SAMPLE_REPOSITORIES if sample else rules.DEFAULT_REPOSITORIES
     read: dict[str, Callable[..., DataFrame]] = {
         "repositories": landing.read_repositories,
         "pull_requests": landing.read_pull_requests,
@@ -97,11 +132,11 @@ def ingest_code_host(
     }
     wanted = spark.createDataFrame([(r,) for r in repositories], "repo string")
     stored = {}
-    for name, (key, ts, cap) in RESOURCES.items():
+    for name, (key, ts, cap, gated) in RESOURCES.items():
         path = f"{root}/raw/{name}"
-        before = _stored(spark, path)
+        before = _loaded_before(spark, root, name, now, cap, environment)
         options: dict[str, object] = {}
-        if before is None or force:
+        if before is None or force or not gated:
             due = list(repositories)
         else:
             fresh = inc.freshness(
@@ -117,9 +152,7 @@ def ingest_code_host(
         stored[name] = _load(rows, path, now, ["updated_at", "fetched_at"])
         state = inc.state_rows(stored[name], name, now, key, environment)
         tables.full_load(state, f"{root}/state/table={name}/{BATCH}={_batch(now)}")
-        tables.append(
-            inc.run_manifest(stored[name], "code_host", name, now, environment), f"{root}/manifest"
-        )
+        _record(inc.run_manifest(stored[name], "code_host", name, now, environment), root, name, now)
     return stored
 
 
@@ -137,7 +170,7 @@ def build_governance(
     def write(layer: str, name: str, df: DataFrame) -> DataFrame:
         return tables.write_layer(df, root, layer, name)
 
-    raw = {name: spark.read.parquet(f"{root}/raw/{name}") for name in ("funds", "proposals")}
+    raw = {name: current(spark, f"{root}/raw/{name}", ["ingested_at"]) for name in ("funds", "proposals")}
     funds = write("bronze", "stg_funds", proposals.stage_funds(raw["funds"], now))
     staged = write("bronze", "stg_proposals", proposals.stage_proposals(raw["proposals"]))
     enriched = write("silver", "proposals_enriched", proposals.enrich_proposals(staged))

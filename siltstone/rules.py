@@ -114,7 +114,6 @@ SAMPLE_REPOSITORIES = DEFAULT_REPOSITORIES[:2]
 
 FRESHNESS_DAYS = 7
 PROPOSALS_PER_PAGE = 50
-REPORTED_CATEGORIES = 10
 LIMITS = {
     "sample": {"max_prs": 50, "max_releases": 10, "max_pages": 2},
     "dev": {"max_prs": 50, "max_releases": 10, "max_pages": 5},

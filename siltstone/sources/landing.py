@@ -87,12 +87,13 @@ def read_proposals(
     now: datetime,
     fund_id: int | None = None,
     max_pages: int | None = None,
-    until_end: bool = True,
+    until_end: bool = False,
 ) -> DataFrame:
-    """Proposals of the pages up to the first that is empty or names no next page.
+    """Proposals of all landed pages; the API's client lands nothing behind the end of a crawl.
 
-    Finding that page is a scan of its own; ``until_end=False`` spares it when
-    the landing holds nothing behind the end, as the API's client leaves it.
+    ``until_end`` cuts a landing of one single crawl at its first page that is
+    empty or names no next page, which takes a scan of its own. Never use it on
+    a folder that holds several crawls: the shortest would cut the others.
     """
     raw = spark.read.schema(envelope(schemas.PROPOSALS)).json(f"{landing}/proposals")
     # A bare list has no page number and no links: it is the whole answer.

@@ -6,6 +6,7 @@ which is how a schedule runs it; pass another trigger to keep it running.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,12 @@ from siltstone.operators.common import as_list
 from siltstone.operators.windows import latest_per_key
 
 BATCH = "batch"
+RUN = "run"
+
+
+def _run_of(checkpoint: str) -> str:
+    """A name for the checkpoint: batch ids start anew with each one."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
 def ingest_landing(
@@ -47,16 +54,17 @@ def upsert_stream(
     log: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Write each micro-batch's latest row per key to ``log/batch=<id>``.
+    """Write each micro-batch's latest row per key to ``log/run=<checkpoint>/batch=<id>``.
 
     A replayed batch overwrites its own folder, so the result is the same after
     a failure. The log only grows by what arrived; nothing stored is rewritten.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         latest_per_key(batch, keys, order_by).write.mode("overwrite").parquet(
-            f"{log}/{BATCH}={batch_id}"
+            f"{log}/{RUN}={run}/{BATCH}={batch_id}"
         )
 
+    run = _run_of(checkpoint)
     return (
         rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -70,7 +78,20 @@ def read_upserts(
 ) -> DataFrame:
     """The current row per key of an upsert log; on equal order the later batch wins."""
     rows = spark.read.parquet(log)
-    return latest_per_key(rows, keys, [*order_by, F.desc(BATCH)]).drop(BATCH)
+    later = [F.desc(c) for c in (BATCH, RUN) if c in rows.columns]
+    return latest_per_key(rows, keys, [*order_by, *later]).drop(BATCH, RUN)
+
+
+def compact_upserts(
+    spark: SparkSession, log: str, to: str, keys: str | Sequence[str], order_by: Sequence[str]
+) -> DataFrame:
+    """Write the current rows of a log as the first batch of a new log at ``to``.
+
+    The old log stays as it is; readers and writers move when this is done.
+    """
+    path = f"{to}/{RUN}=compacted/{BATCH}=-1"
+    read_upserts(spark, log, keys, order_by).write.mode("overwrite").parquet(path)
+    return read_upserts(spark, to, keys, order_by)
 
 
 def daily_counts_stream(
@@ -79,26 +100,25 @@ def daily_counts_stream(
     ts: str,
     log: str,
     checkpoint: str,
-    late: str = "7 days",
 ) -> StreamingQuery:
-    """Events per key and day, updated as they arrive.
+    """Events per key and day of each micro-batch, to ``log/run=<checkpoint>/batch=<id>``.
 
-    Rows later than ``late`` behind the newest one are dropped once their day's
-    state has been given up. Changed counts go to an upsert log.
+    Nothing is kept between batches, so a row counts however late it comes;
+    :func:`monthly_from_daily` adds the batches up. A replayed batch overwrites
+    its own folder.
     """
-    counts = (
-        events.select(key, utc_instant(ts).alias("_at"))
-        .withWatermark("_at", late)
-        .groupBy(key, F.window("_at", "1 day").alias("_day"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(key, utc_wall_time("_day.start").alias("day"), "n")
-    )
+    rows = events.select(key, utc_instant(ts).alias("_at"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log}/{BATCH}={batch_id}")
+        batch.groupBy(key, F.window("_at", "1 day").alias("_day")).agg(
+            F.count(F.lit(1)).alias("n")
+        ).select(key, utc_wall_time("_day.start").alias("day"), "n").write.mode("overwrite").parquet(
+            f"{log}/{RUN}={run}/{BATCH}={batch_id}"
+        )
 
+    run = _run_of(checkpoint)
     return (
-        counts.writeStream.outputMode("update").foreachBatch(write)
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -108,11 +128,14 @@ def daily_counts_stream(
 def monthly_from_daily(
     spark: SparkSession, log: str, key: str, month: str = "month", count: str = "event_count"
 ) -> DataFrame:
-    """Monthly counts from the daily log: the last count written per key and day, summed.
+    """Monthly counts from the log of :func:`daily_counts_stream`: its batches, summed.
 
-    Counts only grow, so the highest is the last.
+    A run with a new checkpoint reads its source from the start, so of several
+    runs the one that has counted most of a key's day holds.
     """
-    daily = spark.read.parquet(log).groupBy(*as_list(key), "day").agg(F.max("n").alias("n"))
-    return daily.groupBy(*as_list(key), month_of("day").alias(month)).agg(
+    names = as_list(key)
+    daily = spark.read.parquet(log).groupBy(*names, "day", RUN).agg(F.sum("n").alias("n"))
+    daily = daily.groupBy(*names, "day").agg(F.max("n").alias("n"))
+    return daily.groupBy(*names, month_of("day").alias(month)).agg(
         F.sum("n").alias(count)
     )

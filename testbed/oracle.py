@@ -634,8 +634,7 @@ union all select 'totals', 'github_proposals', count(*) filter (where repo), nul
 union all select 'totals', 'funded_proposals', count(*) filter (where status = 'funded'), null from base
 union all select 'totals', 'funded_github_proposals',
     count(*) filter (where status = 'funded' and repo), null from base
-union all select * from (select 'categories', category, count(*), cast(null as bigint) from base
-    group by 2 order by 3 desc, 2 limit 3)
+union all select 'categories', category, count(*), cast(null as bigint) from base group by 2
 union all select 'funding_status', status, count(*), cast(sum(amount) as bigint) from base group by 2"""
 
 # --- streams -----------------------------------------------------------------

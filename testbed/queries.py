@@ -553,7 +553,9 @@ def landing_proposals(spark, sf):
     pages = (
         orders.groupBy(page.alias("page"))
         .agg(F.collect_list(F.struct("id", "title", "amount_requested", "fund_id")).alias("data"))
-        .withColumn("links", F.struct(F.concat(F.lit("?page="), F.col("page") + 1).alias("next")))
+        .withColumn("links", F.struct(
+            # Every fourth page is the end of a crawl of its own.
+            F.when(F.col("page") % 4 != 0, F.concat(F.lit("?page="), F.col("page") + 1)).alias("next")))
     )
     root = _land(pages, "proposals")
     return landing.read_proposals(spark, root, NOW).select(
@@ -671,7 +673,7 @@ def ecosystem_summary(spark, sf):
         F.when(F.col("amount_received") > 0, "funded")
         .when(F.col("funding_status") != "5-LOW", F.col("funding_status")),
     )
-    return reports.ecosystem_summary(rows, categories=3)
+    return reports.ecosystem_summary(rows)
 
 
 # --- streams -----------------------------------------------------------------

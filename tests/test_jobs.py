@@ -60,22 +60,26 @@ def test_two_runs_and_all_models(spark, tmp_path, values, source):
     ], "org/app", part="2")
     loaded = jobs.ingest_code_host(spark, str(source), root, SECOND, REPOS)
     assert values(loaded["pull_requests"], "id") == [(2,), (5,)]
-    # The same run again replaces its own batch.
+    # The same run again reads the same rows and replaces its own batch.
+    same = jobs.ingest_code_host(spark, str(source), root, SECOND, REPOS)
+    assert values(same["pull_requests"], "id") == [(2,), (5,)]
     jobs.ingest_code_host(spark, str(source), root, SECOND, REPOS, force=True)
     order = ["updated_at", "fetched_at"]
     pulls = jobs.current(spark, f"{root}/raw/pull_requests", order)
     assert [r[0] for r in values(pulls, "id")] == [1, 2, 3, 4, 5]
     assert pulls.filter("id = 2").first()["title"] == "Add thing, renamed"
 
-    # Everything is fresh now: nothing is due.
+    # Everything is fresh now: nothing is due but issues, which are read every time.
+    land(source, "issues", [{"id": 77, "title": "new", "state": "open"}], "org/app", part="2")
     again = jobs.ingest_code_host(spark, str(source), root, datetime(2024, 2, 1), REPOS)
+    assert values(again.pop("issues"), "id") == [(49,), (50,), (77,)]
     assert all(df.count() == 0 for df in again.values())
 
     state = jobs.read_state(spark, root)
     assert state.count() == 8
     marked = freshness(state, "pipeline_state_id", ["last_updated"], datetime(2024, 2, 7), 7, inclusive=True)
     assert marked.filter("is_fresh").count() == 8
-    assert spark.read.parquet(f"{root}/manifest").filter("pipeline = 'pull_requests'").count() == 4
+    assert spark.read.parquet(f"{root}/manifest").filter("pipeline = 'pull_requests'").count() == 3
 
     seed = spark.createDataFrame([("2", "org/lib")], "project_id string, repo_key string")
     built = jobs.build_governance(spark, root, SECOND, seed)
@@ -108,3 +112,46 @@ def test_caps_of_the_sample(spark, tmp_path, source):
         spark, str(source), str(tmp_path / "lake"), FIRST, REPOS, environment="sample"
     )
     assert loaded["releases"].filter("repository_full_name = 'org/app'").count() == 10
+
+
+def test_the_same_time_again_changes_nothing(spark, tmp_path, values, source):
+    root, order = str(tmp_path / "lake"), ["updated_at", "fetched_at"]
+    kept = []
+    for _ in range(2):
+        jobs.ingest_code_host(spark, str(source), root, FIRST, REPOS)
+        pulls = jobs.current(spark, f"{root}/raw/pull_requests", order)
+        kept.append((values(pulls, "id"), values(jobs.read_state(spark, root))))
+    assert kept[0] == kept[1] and len(kept[0][0]) == 4 and len(kept[0][1]) == 8
+    assert spark.read.parquet(f"{root}/manifest").count() == 4
+
+
+def test_a_retry_after_half_a_run(spark, tmp_path, values, source, monkeypatch):
+    root = str(tmp_path / "lake")
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs.landing, "read_releases", broken)
+        with pytest.raises(RuntimeError):
+            jobs.ingest_code_host(spark, str(source), root, FIRST, REPOS)
+    jobs.ingest_code_host(spark, str(source), root, FIRST, REPOS)
+    for name, n in (("repositories", 2), ("pull_requests", 4), ("releases", 2), ("issues", 2)):
+        assert spark.read.parquet(f"{root}/raw/{name}").count() == n
+
+
+def test_capped_runs_lose_nothing(spark, tmp_path, source):
+    land(source, "releases", [
+        {"id": 100 + i, "tag_name": f"t{i}", "published_at": f"2024-01-{i:02d}T00:00:00Z"}
+        for i in range(1, 16)
+    ], "org/app", part="many")
+    land(source, "proposals", [
+        {"page": p, "links": {"next": "x"}, "data": [{"id": 10 * p, "title": "t", "fund_id": 1}]} for p in range(2, 7)
+    ], part="more")
+    root = str(tmp_path / "lake")
+    order = ["updated_at", "fetched_at"]
+    for environment, now in (("sample", FIRST), ("prod", datetime(2024, 1, 21)), ("sample", SECOND)):
+        jobs.ingest_code_host(spark, str(source), root, now, REPOS, environment=environment)
+        jobs.ingest_governance(spark, str(source), root, now, environment)
+    assert jobs.current(spark, f"{root}/raw/releases", order).count() == 17
+    assert jobs.current(spark, f"{root}/raw/proposals", ["ingested_at"]).count() == 7

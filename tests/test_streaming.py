@@ -63,6 +63,21 @@ def test_replayed_batches_change_nothing(spark, tmp_path, values, batches):
     assert results[0] == results[1]
 
 
+def test_a_new_checkpoint_overwrites_nothing(spark, tmp_path, values, batches):
+    log = str(tmp_path / "log")
+    for i, rows in enumerate(batches):
+        source = str(tmp_path / f"source{i}")
+        write(spark, rows, source)
+        jobs.upsert_stream(
+            stream(spark, source), "k", ["ts", "id"], log, str(tmp_path / f"checkpoint{i}")
+        ).awaitTermination()
+    whole = latest_per_key(
+        spark.createDataFrame([r for rows in batches for r in rows], SCHEMA), "k", ["ts", "id"])
+    assert values(jobs.read_upserts(spark, log, "k", ["ts", "id"]), "id", "k") == values(whole, "id", "k")
+    compacted = jobs.compact_upserts(spark, log, str(tmp_path / "new"), "k", ["ts", "id"])
+    assert values(compacted, "id", "k") == values(whole, "id", "k")
+
+
 def test_daily_stream_rolls_up_to_the_batch_months(spark, tmp_path, values, batches):
     source, log, checkpoint = (str(tmp_path / n) for n in ("source", "log", "checkpoint"))
     for rows in batches:
@@ -72,20 +87,24 @@ def test_daily_stream_rolls_up_to_the_batch_months(spark, tmp_path, values, batc
     assert values(jobs.monthly_from_daily(spark, log, "k")) == values(batch)
 
 
-def test_late_rows_count_within_the_watermark_only(spark, tmp_path, values):
+def test_late_rows_of_any_age_count(spark, tmp_path, values):
     source, log, checkpoint = (str(tmp_path / n) for n in ("source", "log", "checkpoint"))
     steps = [
         [(1, "a", datetime(2024, 1, 31), 0), (2, "a", datetime(2024, 1, 30), 0)],
         [(3, "a", datetime(2024, 2, 2), 0)],
-        # One row three days late, one far behind the watermark.
+        # One row three days late, one by months.
         [(4, "a", datetime(2024, 1, 30, 5), 0), (5, "a", datetime(2023, 11, 1), 0)],
     ]
     for rows in steps:
         write(spark, rows, source)
-        jobs.daily_counts_stream(stream(spark, source), "k", "ts", log, checkpoint, "7 days").awaitTermination()
-    assert values(jobs.monthly_from_daily(spark, log, "k")) == [
-        ("a", datetime(2024, 1, 1), 3), ("a", datetime(2024, 2, 1), 1),
+        jobs.daily_counts_stream(stream(spark, source), "k", "ts", log, checkpoint).awaitTermination()
+    want = [
+        ("a", datetime(2023, 11, 1), 1), ("a", datetime(2024, 1, 1), 3), ("a", datetime(2024, 2, 1), 1),
     ]
+    assert values(jobs.monthly_from_daily(spark, log, "k")) == want
+    # A new checkpoint counts everything again, in a folder of its own.
+    jobs.daily_counts_stream(stream(spark, source), "k", "ts", log, checkpoint + "2").awaitTermination()
+    assert values(jobs.monthly_from_daily(spark, log, "k")) == want
 
 
 def test_days_are_utc_in_any_session_zone(spark, tmp_path, values):
