@@ -44,8 +44,9 @@ def page(number, ids, last=False, fund=1):
     ([page(1, [1, 2]), page(2, [3]), page(3, [4], last=True)], None, None, [1, 2, 3, 4]),
     ([page(1, [1, 2]), page(2, [3]), page(3, [4], last=True)], 2, None, [1, 2, 3]),
     ([page(1, [1, 2]), page(2, [3]), page(3, [4], last=True)], 0, None, []),
-    ([page(1, [1]), page(2, [2], last=True), page(3, [3])], None, None, [1, 2]),
-    ([page(1, [1]), page(2, []), page(3, [3])], None, None, [1]),
+    # Two crawls of different length: the end of one doesn't cut the other.
+    ([page(1, [1]), page(2, [2], last=True), page(1, [5], fund=2), page(3, [3], fund=2)], None, None, [1, 2, 3, 5]),
+    ([page(1, [1]), page(2, []), page(3, [3])], None, None, [1, 3]),
     ([page(1, [1]), page(2, [2], fund=9)], None, 9, [2]),
 ])
 def test_proposal_pages(spark, tmp_path, pages, max_pages, fund, expected):
@@ -54,9 +55,9 @@ def test_proposal_pages(spark, tmp_path, pages, max_pages, fund, expected):
     assert sorted(r["id"] for r in df.collect()) == expected
 
 
-def test_proposals_without_looking_for_the_end(spark, tmp_path):
-    land(tmp_path, "proposals", [page(1, [1], last=True), page(2, [2])])
-    df = landing.read_proposals(spark, str(tmp_path), NOW, until_end=False)
+def test_one_crawl_up_to_its_end(spark, tmp_path):
+    land(tmp_path, "proposals", [page(1, [1]), page(2, [2], last=True), page(3, [3])])
+    df = landing.read_proposals(spark, str(tmp_path), NOW, until_end=True)
     assert sorted(r["id"] for r in df.collect()) == [1, 2]
 
 
