@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import mixed, rows_of, save, signed
@@ -26,6 +26,8 @@ K = 5
 TAKEN = 6
 SKETCHES = 40
 SIMILARITY = 0.8
+# Size of the bitmap of a text's words: sharp up to some thousand words, right for any.
+BAG_BITS = 4096
 
 _WORD = re.compile(r"\w+")
 
@@ -225,6 +227,37 @@ def _verify(least: float):
     return run
 
 
+def bag_bits(h: np.ndarray) -> np.ndarray:
+    """The words of one text, each labelled with its occurrence, as a bitmap of ``BAG_BITS`` bits.
+
+    Each bit that one text has and another has not stands for a word of the
+    first that has no partner in the second, so it costs an edit.
+    """
+    bits = _labelled(h, 1) % np.uint64(BAG_BITS)
+    out = np.zeros(BAG_BITS // 64, np.uint64)
+    np.bitwise_or.at(out, bits // np.uint64(64), np.uint64(1) << bits % np.uint64(64))
+    return out
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[str, int] = {}
+    for batch in batches:
+        bags = []
+        for text in batch.column("text").to_pylist():
+            if len(known) > 1 << 18:
+                known.clear()
+            bags.append(signed(bag_bits(_word_hashes(words_of(text), known))))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("th"), batch.column("bands"), pa.array(bags, pa.list_(pa.int64()))],
+            names=["th", "bands", "bag"])
+
+
+def _alone(x: str, y: str) -> Column:
+    """Bits of bag ``x`` that bag ``y`` has not."""
+    each = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+    return F.aggregate(each, F.lit(0), lambda total, bits: total + bits)
+
+
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """The pairs whose ends are in different groups."""
     x = groups.select(F.col("node").alias("a"), F.col("root").alias("x"))
@@ -233,6 +266,21 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return told.filter(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
 
 
+def _open(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """The members of buckets that still hold more than one group, with the root of their group."""
+    told = members.join(groups, members["th"] == groups["node"], "left").select(
+        "band", "th", "n", F.coalesce("root", "th").alias("root"))
+    told = save(told, "members")
+    several = told.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return save(told.join(several.select("band"), "band"), "members")
+
+
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    """The pairs that stand in ``tried`` neither way round."""
+    swapped = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return pairs.join(tried.unionByName(swapped), ["a", "b"], "left_anti")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     k: int = K, taken: int = TAKEN, count: int = SKETCHES, least: float = SIMILARITY,
@@ -249,8 +297,9 @@ def near_duplicates(
     Candidates share a sketch. A class is verified against the least one that it
     meets in any bucket, then, if still apart from them, against the least ones
     of its other buckets; at last classes of one bucket that are still in
-    different groups are verified against each other. So no link within a bucket
-    is lost, and a group of true copies costs about one comparison per member.
+    different groups are verified against each other, but for pairs whose words
+    alone show that they are too far apart. So no link within a bucket is lost,
+    and a group of true copies costs about one comparison per member.
     """
     texts = rows_of(docs, id_col, text_col)
     rows = save(texts.mapInArrow(
@@ -300,16 +349,20 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, least: float)
     # One comparison per class joins nearly all; then what stands apart of its other buckets' least ones.
     links = verified(save(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs"))
     links = save(links.unionByName(verified(save(_apart(stars, components(links)), "pairs"))), "links")
-    groups = components(links)
-    tried = stars
-    told = members.join(groups, members["th"] == groups["node"], "left").select(
-        "band", "th", "n", F.coalesce("root", "th").alias("root"))
-    told = save(told, "members")
-    open_ = told.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    rest = save(told.join(open_.select("band"), "band"), "members")
-    other = rest.select("band", F.col("th").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
+    rest = _open(members, components(links))
+    # Before a pair is made, words without a partner bound its distance from below;
+    # of the buckets that two texts share, the least one makes the pair.
+    bags = shown.join(rest.groupBy("th").agg(F.collect_set("band").alias("bands")), "th")
+    bags = save(bags.mapInArrow(_bags, "th long, bands array<long>, bag array<long>").dropDuplicates(["th"]), "bags")
+    rest = save(rest.join(bags, "th"), "members")
     left = rest.withColumnRenamed("th", "a")
-    more = left.join(other, "band").filter(fits & (F.col("root") < F.col("other"))).select("a", "b").distinct()
-    swapped = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    more = save(more.join(tried.unionByName(swapped), ["a", "b"], "left_anti"), "pairs")
+    other = rest.select(
+        "band", F.col("th").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"),
+        F.col("bands").alias("bands_b"), F.col("bag").alias("bag_b"))
+    most = F.floor(F.greatest("n", "m") * (1 - least) + 1e-6)
+    near = fits & (F.col("root") < F.col("other"))
+    near = near & (_alone("bag", "bag_b") <= most) & (_alone("bag_b", "bag") <= most)
+    near = near & (F.array_min(F.array_intersect("bands", "bands_b")) == F.col("band"))
+    more = left.join(other, "band").filter(near).select("a", "b")
+    more = save(_untried(more, stars), "pairs")
     return links.unionByName(verified(more))

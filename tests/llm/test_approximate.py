@@ -140,6 +140,28 @@ def test_alignment_against_the_full_table():
         assert near._banded(x, y, most) == want and near._banded_bits(a, b, most) == want
 
 
+def test_words_without_a_partner_bound_the_distance():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        a = rng.integers(0, rng.integers(1, 40), rng.integers(1, 60)).astype(np.uint64)
+        b = np.delete(a, rng.integers(0, len(a), rng.integers(0, 9)))
+        b = np.insert(b, rng.integers(0, len(b) + 1), rng.integers(0, 40, rng.integers(0, 9)).astype(np.uint64))
+        if not len(b):
+            continue
+        x, y = near.bag_bits(a), near.bag_bits(b)
+        alone = max(int(np.bitwise_count(x & ~y).sum()), int(np.bitwise_count(y & ~x).sum()))
+        assert alone == 0 or not near.distance_within(a, b, alone - 1)
+
+
+def test_texts_that_fail_against_the_first_meet_each_other(spark):
+    # One passage in all; two of the texts are near copies, and no text is near the other ones.
+    passage = " ".join(f"p{i}" for i in range(300))
+    own = [" ".join(f"w{t}x{i}" for i in range(120)) for t in range(8)]
+    rows = [(i, f"{passage} {t}") for i, t in enumerate(own)] + [(20, f"{passage} {own[7]} more words")]
+    told = {r.doc_id: r.class_id for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert told == {i: i for i in range(8)} | {20: 7}
+
+
 def test_order_matters_to_a_sketch():
     h = np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     swapped = np.concatenate([h[200:], h[:200]])
