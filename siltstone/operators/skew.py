@@ -1,122 +1,110 @@
-"""Work on groups of any size without putting one group into one task.
+"""Order within groups of any size without putting one group into one task.
 
-A window or an exact percentile sends each group to a single task. These
-operators first count rows per key (map-side, one small job) and look at the
-few keys above a limit. Usually there are none and the plain one-shuffle plan
-is used. Heavy keys are cut into value-ordered slices of similar size, and the
-slices are put together again through a per-slice summary.
+A window or an exact percentile sends each group to a single task. Here a group
+is cut into slices by a fixed rule on the value: the hour of a time, the leading
+digits of a number. The rule needs no sample and no count, so every key takes
+the same plan and a repeated task cuts alike. A summary of one row per slice
+links the slices: rows in the slices before, or the last value there.
+
+A key has at most as many slices as hours in its period, or as magnitudes among
+its numbers. One slice is sorted in one task, by Spark's spilling sort.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.operators.common import as_list, join_on
 
-# A key with more rows than this is split.
-HEAVY_ROWS = 500_000
-# At most this many keys are split; any key left out holds less than 1/20,000
-# of all rows.
-HEAVY_KEYS = 20_000
-# Most slices of one key and of all keys together. With HEAVY_KEYS they bound
-# everything broadcast here: some 240,000 boundaries or slice rows.
-MAX_SLICES = 4_000
-TOTAL_SLICES = 200_000
-GRID = ",".join(str(i / MAX_SLICES) for i in range(1, MAX_SLICES))
-# Width of the blocks in the two-step lookup of a boundary.
-BLOCK = 64
-SKETCH_ACCURACY = 40_000
-
 SLICE = "_slice"
+# Seconds of a slice of times, and slices per factor e of a number.
+SLICE_SECONDS = 3600
+SLICE_STEPS = 4096
+# Characters of a slice of texts: an ISO time up to its hour.
+SLICE_PREFIX = 13
 
 
-def heavy_keys(
-    df: DataFrame, keys: str | Sequence[str], min_rows: int = HEAVY_ROWS, limit: int = HEAVY_KEYS
-) -> list[Row]:
-    """(keys, heavy_rows) of the ``limit`` largest keys above ``min_rows`` rows.
+def slice_of(df: DataFrame, column: str, grain: float = 1.0) -> Column:
+    """A number (or text prefix) that never falls as the column rises; null for null.
 
-    Runs a job: the plan that follows depends on whether there are any.
+    ``grain`` is the size of a slice against the usual one; it affects balance
+    only, never a result. NaN has the highest slice.
     """
-    keys = as_list(keys)
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("heavy_rows"))
-        .filter(F.col("heavy_rows") > min_rows)
-        .orderBy(F.desc("heavy_rows"), *keys)
-        .limit(limit)
-        .collect()
-    )
-
-
-def _as_frame(df: DataFrame, keys: list[str], heavy: list[Row]) -> DataFrame:
-    """The listed keys as a frame to broadcast (``HEAVY_KEYS`` rows at most)."""
-    schema = df.select(*keys, F.lit(0).cast("long").alias("heavy_rows")).schema
-    return F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in heavy], schema))
-
-
-def order_slices(
+    kind = df.schema[column].dataType
+    value = F.col(column)
+    seconds = SLICE_SECONDS * grain
+    if isinstance(kind, T.TimestampType):
+        return F.floor(F.unix_seconds(value) / seconds)
+    if isinstance(kind, T.TimestampNTZType):
+        clock = F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+        return F.floor((F.unix_date(value.cast("date")).cast("long") * 86_400 + clock) / seconds)
+    if isinstance(kind, T.NumericType):
+        number = value.cast("double")
+        magnitude = F.floor(F.log1p(F.abs(number)) * (SLICE_STEPS / grain))
+        return F.when(F.isnan(number), F.lit(float("inf"))).otherwise(F.signum(number) * magnitude)
+    if isinstance(kind, T.StringType):
+        return F.substring(value, 1, SLICE_PREFIX)
+    return value
+
+
+def with_place(
     df: DataFrame,
     keys: str | Sequence[str],
     by: str,
-    slice_rows: int = HEAVY_ROWS,
-    heavy: list[Row] | None = None,
-    source: DataFrame | None = None,
+    ties: Sequence[Column] = (),
+    out: str = "place",
+    first: int | None = None,
+    grain: float = 1.0,
 ) -> DataFrame:
-    """Add ``_slice``: 0 for light keys, 1, 2, .. in ascending ``by`` order for heavy ones.
+    """Number the rows of each key from 0, by ``by`` descending (nulls last), then ``ties``.
 
-    Equal values share a slice and a heavy key's nulls form its last one. The
-    boundaries come from a quantile sketch, so they only affect how even the
-    slices are, never the order between them. ``heavy`` saves the counting job
-    when the result of :func:`heavy_keys` is at hand; ``source`` holds the rows
-    to sketch, when ``df`` was aggregated from them by a shuffle.
+    With ``first`` only that many rows of each key stay; slices behind them are
+    left out before any row is sorted.
     """
     keys = as_list(keys)
-    heavy = heavy_keys(df, keys, slice_rows) if heavy is None else heavy
-    if not heavy:
-        return df.withColumn(SLICE, F.lit(0))
-    slice_rows = max(slice_rows, sum(r[len(keys)] for r in heavy) // TOTAL_SLICES)
-    # One constant instead of thousands of literals for the planner to visit.
-    grid = F.split(F.lit(GRID), ",").cast("array<double>")
-    wanted = F.least(F.ceil(F.col("n") / slice_rows).cast("int"), F.lit(MAX_SLICES))
-    wanted = F.greatest(wanted, F.lit(2))
-    cuts = F.transform(
-        F.sequence(F.lit(1), F.col("wanted") - 1),
-        lambda i: F.col("grid")[F.floor(i * MAX_SLICES / F.col("wanted")).cast("int") - 1],
-    )
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("cuts") - 1) / BLOCK).cast("int")),
-        lambda j: F.slice(F.col("cuts"), j * BLOCK + 1, F.lit(BLOCK)),
+    sliced = df.withColumn(SLICE, slice_of(df, by, grain))
+    earlier = (
+        Window.partitionBy(*keys).orderBy(F.col(SLICE).desc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    bounds = (
-        join_on((df if source is None else source).select(*keys, by), _as_frame(df, keys, heavy), keys, "inner")
-        .groupBy(*keys)
-        .agg(
-            F.max("heavy_rows").alias("n"),
-            F.percentile_approx(by, grid, SKETCH_ACCURACY).alias("grid"),
-        )
-        .select(*keys, "grid", wanted.alias("wanted"))
-        .select(*keys, F.array_distinct(F.coalesce(cuts, F.expr("slice(grid, 1, 0)"))).alias("cuts"))
-        .select(*keys, blocks.alias("_blocks"))
+    cells = (
+        sliced.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_n"))
+        .select(*keys, SLICE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    value = F.col(by)
-    # Blocks whose first cut lies below the value; the last of them is searched.
-    full = F.size(F.filter("_blocks", lambda b: b[0] < value))
-    position = F.when(full == 0, F.lit(0)).otherwise(
-        (full - 1) * BLOCK
-        + F.size(F.filter(F.element_at("_blocks", F.greatest(full, F.lit(1))), lambda c: c < value))
+    in_slice = Window.partitionBy(*keys, SLICE).orderBy(F.col(by).desc_nulls_last(), *ties)
+    if first is not None:
+        cells = cells.filter(F.col("_before") < first)
+    rows = join_on(sliced, cells, [*keys, SLICE], "inner").withColumn(
+        "_nth", F.row_number().over(in_slice)
     )
-    number = (
-        F.when(F.col("_blocks").isNull(), F.lit(0))
-        .when(value.isNull(), F.lit(MAX_SLICES + 1))
-        .otherwise(position + 1)
+    if first is not None:
+        rows = rows.filter(F.col("_nth") <= first).filter(F.col("_before") + F.col("_nth") <= first)
+    return rows.withColumn(out, F.col("_before") + F.col("_nth") - 1).drop(SLICE, "_before", "_nth")
+
+
+def previous_value(
+    df: DataFrame, keys: str | Sequence[str], value: str, out: str = "previous", grain: float = 1.0
+) -> DataFrame:
+    """Add the next lower value of the same key, for rows unique by (keys, value).
+
+    A row without value comes after all others.
+    """
+    keys = as_list(keys)
+    sliced = df.withColumn(SLICE, slice_of(df, value, grain))
+    slices = Window.partitionBy(*keys).orderBy(F.col(SLICE).asc_nulls_last())
+    ends = (
+        sliced.groupBy(*keys, SLICE).agg(F.max(value).alias("_end"))
+        .select(*keys, SLICE, F.lag("_end").over(slices).alias("_end"))
     )
+    in_slice = Window.partitionBy(*keys, SLICE).orderBy(F.col(value).asc_nulls_last())
     return (
-        join_on(df, F.broadcast(bounds), keys, "left")
-        .withColumn(SLICE, number)
-        .drop("_blocks")
+        join_on(sliced, ends, [*keys, SLICE], "inner")
+        .withColumn(out, F.coalesce(F.lag(value).over(in_slice), "_end"))
+        .drop(SLICE, "_end")
     )
 
 
@@ -127,44 +115,26 @@ def exact_quantile(
     q: float = 0.5,
     out: str = "quantile",
     weight: str | None = None,
-    slice_rows: int = HEAVY_ROWS,
-    heavy: list[Row] | None = None,
+    grain: float = 1.0,
 ) -> DataFrame:
     """Exact interpolated ``q``-quantile of ``value`` per key (nulls ignored).
 
-    Light keys use Spark's ``percentile``, whose state holds their distinct
-    values. For heavy keys equal values are counted before the shuffle, the
-    slice that holds the wanted rank is located, and only that one is sorted.
-    Keys with no value give no row.
+    Equal values are counted before the shuffle, the slice that holds the wanted
+    rank is located by cumulative counts, and only that one is sorted. Keys with
+    no value give no row.
     """
     keys = as_list(keys)
-    heavy = heavy_keys(df, keys, slice_rows) if heavy is None else heavy
-    rows = df.filter(F.col(value).isNotNull())
-
-    def by_percentile(part: DataFrame) -> DataFrame:
-        frequency = F.col(weight) if weight else F.lit(1)
-        return part.groupBy(*keys).agg(F.percentile(value, q, frequency).alias(out))
-
-    if not heavy:
-        return by_percentile(rows)
-    listed = _as_frame(df, keys, heavy).drop("heavy_rows")
-    light = by_percentile(join_on(rows, listed, keys, "left_anti"))
-    hot_rows = join_on(rows, listed, keys, "left_semi")
-
     count = F.sum(weight) if weight else F.count(F.lit(1))
-    freq = hot_rows.groupBy(*keys, value).agg(count.cast("long").alias("_w"))
-    sliced = order_slices(freq, keys, value, slice_rows, heavy, hot_rows)
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
+        count.cast("long").alias("_w")
+    )
+    sliced = counts.withColumn(SLICE, slice_of(counts, value, grain))
     whole = Window.partitionBy(*keys)
+    upto = whole.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     position = (F.col("_total") - 1) * F.lit(float(q))
     cells = (
-        sliced.groupBy(*keys, SLICE)
-        .agg(F.sum("_w").alias("_n"))
-        .withColumns({
-            "_upto": F.sum("_n").over(
-                whole.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-            "_total": F.sum("_n").over(whole),
-        })
+        sliced.groupBy(*keys, SLICE).agg(F.sum("_w").alias("_n"))
+        .withColumns({"_upto": F.sum("_n").over(upto), "_total": F.sum("_n").over(whole)})
         .withColumns({
             "_before": F.col("_upto") - F.col("_n"),
             "_pos": position,
@@ -172,17 +142,16 @@ def exact_quantile(
             "_hi": F.ceil(position),
         })
     )
-    for_rank = (F.col("_before") <= F.col("_hi")) & (F.col("_lo") < F.col("_upto"))
-    # At most two cells per heavy key are left.
-    wanted = F.broadcast(cells.filter(for_rank).drop("_n", "_upto", "_total"))
-    in_slice = Window.partitionBy(*keys, SLICE).orderBy(value)
+    holds_rank = (F.col("_before") <= F.col("_hi")) & (F.col("_lo") < F.col("_upto"))
+    # At most two slices per key are left.
+    wanted = cells.filter(holds_rank).drop("_n", "_upto", "_total")
+    in_slice = (
+        Window.partitionBy(*keys, SLICE).orderBy(value)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     ranked = (
         join_on(sliced, wanted, [*keys, SLICE], "inner")
-        .withColumn(
-            "_end",
-            F.col("_before")
-            + F.sum("_w").over(in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        )
+        .withColumn("_end", F.col("_before") + F.sum("_w").over(in_slice))
         .withColumn("_start", F.col("_end") - F.col("_w"))
     )
 
@@ -190,7 +159,11 @@ def exact_quantile(
         hit = (F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
         return F.max(F.when(hit, F.col(value).cast("double")))
 
-    hot = (
+    between = (
+        (F.col("_lo") + 1 - F.col("_pos")) * F.col("_low")
+        + (F.col("_pos") - F.col("_lo")) * F.col("_high")
+    )
+    return (
         ranked.groupBy(*keys)
         .agg(
             at("_lo").alias("_low"), at("_hi").alias("_high"),
@@ -198,12 +171,6 @@ def exact_quantile(
         )
         .select(
             *keys,
-            F.when(F.col("_low") == F.col("_high"), F.col("_low"))
-            .otherwise(
-                (F.col("_lo") + 1 - F.col("_pos")) * F.col("_low")
-                + (F.col("_pos") - F.col("_lo")) * F.col("_high")
-            )
-            .alias(out),
+            F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(between).alias(out),
         )
     )
-    return light.unionByName(hot)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.temporal import days_between
 from siltstone.operators.common import as_list, join_on, orderable
-from siltstone.operators.skew import HEAVY_ROWS, SLICE, heavy_keys, order_slices
+from siltstone.operators.skew import previous_value, with_place
 
 
 def _descending(columns: Sequence[str | Column]) -> list[Column]:
@@ -46,15 +46,14 @@ def cap_per_key(
     df: DataFrame,
     keys: str | Sequence[str],
     n: int | None,
-    order_by: str | Sequence[str | Column],
-    salts: int = 256,
+    order_by: str | Sequence[str],
+    grain: float = 1.0,
 ) -> DataFrame:
     """At most ``n`` rows per key, highest by ``order_by`` first. ``None`` keeps all, 0 none.
 
-    Ranked twice: within (key, salt), where the salt groups input partitions,
-    then within the key over what is left. For usual caps Spark keeps ``n`` rows
-    per key and task before the first shuffle; the second sees ``n * salts`` of
-    one key at most, so a hot key is never ranked whole in one task.
+    Counts per slice of the first column tell which slices hold the first ``n``
+    rows; only these are ranked, each on its own, whatever ``n`` is. The other
+    columns complete the order. Rows that tie in the first column share a slice.
     """
     if n is None:
         return df
@@ -62,17 +61,9 @@ def cap_per_key(
         raise ValueError("the cap must not be negative")
     if n == 0:
         return df.filter(F.lit(False))
-    keys = as_list(keys)
-    order_by = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-    named = [c for c in order_by if isinstance(c, str)]
-    order = _descending(order_by) + _descending(orderable(df, skip=[*keys, *named]))
-
-    def first_n(rows: DataFrame, parts: list[str]) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
-        return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
-
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    return first_n(first_n(salted, [*keys, "_salt"]).drop("_salt"), keys)
+    keys, order_by = as_list(keys), as_list(order_by)
+    ties = _descending([*order_by[1:], *orderable(df, skip=[*keys, *order_by])])
+    return with_place(df, keys, order_by[0], ties, "_place", n, grain).drop("_place")
 
 
 def with_previous(
@@ -80,38 +71,27 @@ def with_previous(
     keys: str | Sequence[str],
     ts: str,
     out: str = "prev_date",
-    slice_rows: int = HEAVY_ROWS,
-    heavy: list[Row] | None = None,
-    source: DataFrame | None = None,
+    grain: float = 1.0,
 ) -> DataFrame:
     """Add the previous ``ts`` of the same key (ascending, nulls last).
 
-    Heavy keys are windowed slice by slice; only the first row of a slice looks
-    back, at the last row of the slice before it. For ``heavy`` and ``source``
-    see :func:`~siltstone.operators.skew.order_slices`.
+    One row of each (keys, ts) follows the instant before, the others follow a
+    row of their own instant. It is a copy of the row whose other columns hash
+    lowest, so a task run again names the same one. Neither the rows of one
+    instant nor those without time share a task, only equal rows do.
     """
     keys = as_list(keys)
-    heavy = heavy_keys(df, keys, slice_rows) if heavy is None else heavy
-    if not heavy:
-        by_time = Window.partitionBy(*keys).orderBy(F.col(ts).asc_nulls_last())
-        return df.withColumn(out, F.lag(ts).over(by_time))
-    by_time = Window.partitionBy(*keys, SLICE).orderBy(F.col(ts).asc_nulls_last())
-    rows = order_slices(df, keys, ts, slice_rows, heavy, source).withColumns({
-        out: F.lag(ts).over(by_time),
-        "_nth": F.row_number().over(by_time),
-        "_after": F.lead(F.lit(1), 1, 0).over(by_time),
-    })
-    # 0 for every row of a light key. As one number made of window results the
-    # test stays above the window, so that both parts share its shuffle.
-    is_first = F.when(F.col("_nth") == 1, F.col(SLICE)).otherwise(0)
-    is_edge = F.when((F.col("_nth") == 1) | (F.col("_after") == 0), F.col(SLICE)).otherwise(0)
-    across = Window.partitionBy(*keys).orderBy(SLICE, "_nth")
-    edges = (
-        rows.filter(is_edge > 0)
-        .withColumn(out, F.lag(ts).over(across))
-        .filter(F.col("_nth") == 1)
+    others = orderable(df, skip=[*keys, ts])
+    rows = df.withColumn("_mark", F.xxhash64(*others) if others else F.lit(0).cast("long"))
+    instants = rows.groupBy(*keys, ts).agg(F.min("_mark").alias("_lead"))
+    copies = Window.partitionBy(*keys, ts, "_mark").orderBy("_mark")
+    numbered = rows.withColumn("_nth", F.row_number().over(copies))
+    leads = (F.col("_mark") == F.col("_lead")) & (F.col("_nth") == 1)
+    return (
+        join_on(numbered, previous_value(instants, keys, ts, "_before", grain), [*keys, ts], "inner")
+        .withColumn(out, F.when(leads, F.col("_before")).otherwise(F.col(ts)))
+        .drop("_mark", "_nth", "_lead", "_before")
     )
-    return rows.filter(is_first == 0).unionByName(edges).drop(SLICE, "_nth", "_after")
 
 
 def gaps(
@@ -119,10 +99,10 @@ def gaps(
     keys: str | Sequence[str],
     ts: str,
     out: str = "days_diff",
-    slice_rows: int = HEAVY_ROWS,
+    grain: float = 1.0,
 ) -> DataFrame:
     """Rows that follow another of their key, with the days since it."""
-    rows = with_previous(df, keys, ts, "_prev", slice_rows)
+    rows = with_previous(df, keys, ts, "_prev", grain)
     return (
         rows.filter(F.col("_prev").isNotNull())
         .withColumn(out, days_between("_prev", ts))
@@ -131,19 +111,13 @@ def gaps(
 
 
 def gap_counts(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    slice_rows: int = HEAVY_ROWS,
-    out: str = "days_diff",
-    heavy: list[Row] | None = None,
+    df: DataFrame, key: str, ts: str, out: str = "days_diff", grain: float = 1.0
 ) -> DataFrame:
     """Gaps in days between consecutive events of a key, as (key, gap, number of gaps).
 
     A gap that occurs again takes another row. Events at the same instant are counted before the shuffle and give zero
     gaps. An event without time follows the last dated one with a null gap.
     """
-    heavy = heavy_keys(df, key, slice_rows) if heavy is None else heavy
     marks = df.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
     dated = F.col(ts).isNotNull()
     found = F.explode(F.array(
@@ -157,7 +131,7 @@ def gap_counts(
         ),
     ))
     return (
-        with_previous(marks, key, ts, "_prev", slice_rows, heavy, df)
+        previous_value(marks, key, ts, "_prev", grain)
         .select(key, found.alias("_g"))
         .select(key, f"_g.{out}", F.col("_g.n").alias("gaps"))
         .filter(F.col("gaps") > 0)
@@ -181,49 +155,19 @@ def ranked_pages(
     page_rows: int = 10_000,
     ties: Sequence[str] = (),
     out: str = "items",
-    slice_rows: int = HEAVY_ROWS,
-    heavy: list[Row] | None = None,
+    grain: float = 1.0,
 ) -> DataFrame:
     """Per key, all items by ``order_by`` descending as arrays of at most ``page_rows``.
 
-    One row per (keys, page), pages from 0. No array and no sort holds more than
-    a page or a slice, and no item is dropped. Rows with null ``order_by`` end up last.
+    One row per (keys, page), pages from 0. No array holds more than a page, no
+    sort more than a slice, and no item is dropped. Rows with null ``order_by`` end up last.
     """
     keys = as_list(keys)
-    # Ascending slices of the negated value keep nulls last.
-    heavy = heavy_keys(df, keys, slice_rows) if heavy is None else heavy
-    rows = order_slices(
-        df.withColumn("_neg", -F.col(order_by)), keys, "_neg", slice_rows, heavy
-    ).withColumn("_item", item)
-    in_slice = Window.partitionBy(*keys, SLICE).orderBy(
-        F.col("_neg").asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in ties]
-    )
-    placed = rows.withColumn("_place", F.row_number().over(in_slice) - 1)
-    if heavy:
-        placed = _add_offsets(placed, rows, keys)
+    order = [F.col(t).asc_nulls_last() for t in ties]
+    placed = with_place(df.withColumn("_item", item), keys, order_by, order, "_place", grain=grain)
     page = F.floor(F.col("_place") / page_rows).cast("int")
     return (
         placed.groupBy(*keys, page.alias("page"))
         .agg(F.array_sort(F.collect_list(F.struct("_place", "_item"))).alias("_items"))
         .select(*keys, "page", F.col("_items._item").alias(out))
     )
-
-
-def _add_offsets(placed: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Places within a slice as places within the heavy key."""
-    offsets = (
-        rows.filter(F.col(SLICE) > 0)
-        .groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_offset",
-            F.sum("_n").over(
-                Window.partitionBy(*keys).orderBy(SLICE)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ) - F.col("_n"),
-        )
-        .drop("_n")
-    )
-    # One row per slice of a heavy key, so the number of rows is bounded.
-    return join_on(placed, F.broadcast(offsets), [*keys, SLICE], "left").withColumn(
-        "_place", F.col("_place") + F.coalesce("_offset", F.lit(0))
-    )

@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 
 from siltstone import rules
 from siltstone.functions import label_ladder, lowered_text, month_of
-from siltstone.operators.common import as_time
+from siltstone.operators.common import as_time, join_on
 from siltstone.operators.keys import only_keys, pick_keys, pinned_or_top
-from siltstone.operators.skew import HEAVY_ROWS, exact_quantile
+from siltstone.operators.skew import exact_quantile
 from siltstone.operators.windows import gap_counts, latest_per_key
-from siltstone.session import workspace
 from siltstone.sources.landing import flatten_struct
-from siltstone.sources.tables import full_load
 
 Ladder = Sequence[tuple[str, Sequence[str]]]
 
@@ -125,26 +123,24 @@ def median_gap_vs_top(
     digits: int | None = 2,
     with_group: bool = False,
     out: str = "median_days",
-    slice_rows: int = HEAVY_ROWS,
+    grain: float = 1.0,
 ) -> DataFrame:
     """Median days between consecutive events, for the pinned and the busiest keys.
 
     A first job counts the keys; the second reads only the selected ones, by a
-    filter that reaches the scan. Those that are large are cut into time slices.
+    filter that reaches the scan.
     A key whose only second event is undated appears with a null median.
     """
     picked = pick_keys(events, key, n, pinned)
     selected = events.select(key, ts).filter(F.col(key).isin([r[key] for r in picked]))
-    heavy = [r for r in picked if r["rows"] > slice_rows]
-    gaps = gap_counts(selected, key, ts, slice_rows, "_gap", heavy)
-    if heavy:
-        # Several passes follow: keep the windows from running again in each.
-        gaps = full_load(gaps, workspace(events.sparkSession, "gaps"))
-        medians = exact_quantile(gaps, key, "_gap", 0.5, out, "gaps", slice_rows, heavy)
-        result = gaps.select(key).distinct().join(medians, key, "left")
-    else:
-        median = F.percentile("_gap", 0.5, F.col("gaps"))
-        result = gaps.groupBy(key).agg(median.alias(out))
+    medians = exact_quantile(
+        gap_counts(selected, key, ts, "_gap", grain), key, "_gap", 0.5, out, "gaps", grain
+    )
+    # Two events of which one is dated make a gap.
+    with_gaps = selected.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_all"), F.count(ts).alias("_dated")
+    ).filter("_all > 1 and _dated > 0")
+    result = join_on(with_gaps.select(key), medians, [key], "left")
     if digits is not None:
         result = result.withColumn(out, F.round(out, digits))
     if with_group:

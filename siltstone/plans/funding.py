@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from siltstone import rules
 from siltstone.functions import has_token, pct
 from siltstone.operators.common import join_on
-from siltstone.operators.skew import HEAVY_ROWS, exact_quantile, heavy_keys
+from siltstone.operators.skew import exact_quantile
 
 
 def funding_summary(
@@ -19,21 +19,17 @@ def funding_summary(
     funds: DataFrame,
     category_counts: Mapping[str, str] = rules.CATEGORY_COUNTS,
     trim: bool = False,
-    slice_rows: int = HEAVY_ROWS,
+    grain: float = 1.0,
 ) -> DataFrame:
     """Metrics of funded proposals by fund, highest fund first.
 
     Proposals are aggregated before the fund title is joined on, so only one
-    row per fund meets ``funds`` (unique by id). For funds too large to hold
-    their amounts in one task the exact median is computed apart.
+    row per fund meets ``funds`` (unique by id). The exact median is computed
+    apart, so no task holds all amounts of a fund.
     """
     group = ["fund_id", "fund_name"]
     funded = enriched.filter(F.col("funding_category") == rules.FUNDED)
     is_array = isinstance(enriched.schema["categories"].dataType, T.ArrayType)
-    median_column = "median_funding_per_project"
-    heavy = heavy_keys(funded, group, slice_rows)
-    # With light funds only, the median shares the aggregation of the others.
-    median = [] if heavy else [F.median("amount_received").alias(median_column)]
     metrics = funded.groupBy(*group).agg(
         F.count(F.lit(1)).alias("total_funded_projects"),
         F.sum("amount_received").alias("total_funding_distributed"),
@@ -48,18 +44,15 @@ def funding_summary(
         ],
         F.avg("approval_rate").alias("avg_approval_rate"),
         F.avg("funding_ratio").alias("avg_funding_ratio"),
-        *median,
     )
-    if heavy:
-        exact = exact_quantile(
-            funded, group, "amount_received", 0.5, median_column,
-            slice_rows=slice_rows, heavy=heavy,
-        )
-        metrics = join_on(metrics, exact, group, "left")
+    median = exact_quantile(
+        funded, group, "amount_received", 0.5, "median_funding_per_project", grain=grain
+    )
     titles = funds.select(F.col("id").alias("_fund"), F.col("title").alias("fund_title"))
     total = "total_funded_projects"
     return (
-        metrics.join(titles, F.col("fund_id") == F.col("_fund"), "left")
+        join_on(metrics, median, group, "left")
+        .join(titles, F.col("fund_id") == F.col("_fund"), "left")
         .drop("_fund")
         .withColumns({
             "github_adoption_pct": pct("projects_with_github", total),

@@ -187,6 +187,7 @@ def build_governance(
         "segmented_projects": found,
         "funding_summary": write("gold", "funding_summary", funding.funding_summary(enriched, funds)),
         "landscape": write("gold", "landscape", segments.landscape(found)),
+        "landscape_examples": write("gold", "landscape_examples", segments.landscape_examples(found)),
         "delivery_panel": write(
             "gold", "delivery_panel", mapping.delivery_panel(staged, repo_map, repositories)
         ),

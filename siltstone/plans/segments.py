@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 
 from siltstone import rules
 from siltstone.functions import label_ladder, lowered_text, pct
-from siltstone.operators.common import join_on
-from siltstone.operators.skew import heavy_keys
-from siltstone.operators.windows import pages_of, ranked_pages
+from siltstone.operators.skew import with_place
 
-# Groups with more examples than this are not gathered in one task.
-ARRAY_ROWS = 50_000
+# What the landscape has one row for.
+GROUP = ["competition_level", "wallet_type"]
 
 Ladder = Sequence[tuple[str, Sequence[str]]]
 
@@ -90,31 +88,14 @@ def landscape(
     scores: Mapping[str, int] = rules.COMPETITION_SCORES,
     score_default: int = rules.COMPETITION_SCORE_DEFAULT,
     bonuses: Sequence[tuple[str, float, int]] = rules.SCORE_BONUSES,
-    page_rows: int = 10_000,
-    slice_rows: int = ARRAY_ROWS,
 ) -> DataFrame:
-    """Metrics, funded examples and priority score per competition level and type.
+    """Metrics and priority score, one row per competition level and type.
 
-    Examples are listed whole, by amount received descending. A group with more
-    than ``page_rows`` of them takes one row per page (``examples_page`` 0, 1, ..)
-    with its metrics repeated; smaller groups have the single page 0.
+    The funded examples are a table of their own, :func:`landscape_examples`.
     """
-    group = ["competition_level", "wallet_type"]
     funded = F.col("funding_category") == rules.FUNDED
-    example = F.struct(
-        "title",
-        F.col("amount_received").alias("funding_received"),
-        F.col("has_active_github").alias("has_github"),
-        F.col("github_repo_count").alias("github_repos"),
-    )
-    heavy = heavy_keys(segments.filter(funded), group, slice_rows)
-    # Groups of bounded size get their examples in the same aggregation.
-    listed = F.struct((-F.col("amount_received")).alias("_neg"), "id", example.alias("_item"))
-    gathered = [] if heavy else [
-        F.array_sort(F.collect_list(F.when(funded, listed))).alias("_items")
-    ]
-    metrics = (
-        segments.groupBy(*group)
+    return (
+        segments.groupBy(*GROUP)
         .agg(
             F.count(F.lit(1)).alias("project_count"),
             F.count_if(funded).alias("funded_project_count"),
@@ -123,31 +104,11 @@ def landscape(
             F.avg(F.when(funded, F.col("amount_received"))).alias("avg_funding_per_funded_project"),
             F.round(F.avg("approval_rate") * 100, 1).alias("avg_approval_rate"),
             F.round(F.avg("funding_ratio") * 100, 1).alias("avg_funding_ratio"),
-            *gathered,
         )
         .withColumns({
             "funding_success_rate": pct("funded_project_count", "project_count"),
             "github_adoption_rate": pct("projects_with_github", "project_count"),
         })
-    )
-    if heavy:
-        examples = ranked_pages(
-            segments.filter(funded).select(
-                *group, "id", "title", "amount_received", "has_active_github",
-                "github_repo_count",
-            ),
-            group, "amount_received", example, page_rows, ["id"], "top_funded_examples",
-            slice_rows, heavy,
-        ).withColumnRenamed("page", "examples_page")
-        result = join_on(metrics, examples, group, "left")
-    else:
-        result = metrics.select(
-            "*", F.posexplode_outer(pages_of("_items._item", page_rows))
-            .alias("examples_page", "top_funded_examples"),
-        ).drop("_items")
-    return (
-        result
-        .withColumn("examples_page", F.coalesce("examples_page", F.lit(0)))
         .withColumn(
             "strategic_priority_score",
             priority_score("competition_level", scores, score_default, bonuses),
@@ -155,6 +116,17 @@ def landscape(
         .orderBy(
             F.desc("strategic_priority_score"),
             F.col("total_funding_received").desc_nulls_last(),
-            *group, "examples_page",
+            *GROUP,
         )
     )
+
+
+def landscape_examples(segments: DataFrame, grain: float = 1.0) -> DataFrame:
+    """All funded projects of each group with their place, most received first (from 0)."""
+    funded = segments.filter(F.col("funding_category") == rules.FUNDED).select(
+        *GROUP, "id", "title",
+        F.col("amount_received").alias("funding_received"),
+        F.col("has_active_github").alias("has_github"),
+        F.col("github_repo_count").alias("github_repos"),
+    )
+    return with_place(funded, GROUP, "funding_received", [F.col("id").asc_nulls_last()], grain=grain)

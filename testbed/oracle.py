@@ -373,8 +373,7 @@ order by case competition_level when 'direct_competitor' then 1 when 'existing_c
     when 'indirect_competitor' then 3 else 4 end, amount_received desc"""
 
 
-def landscape(page_rows: int) -> str:
-    return f"""with {ENRICHED}, {SEGMENTS},
+LANDSCAPE = f"""with {ENRICHED}, {SEGMENTS},
 metrics as (
     select competition_level, wallet_type, count(*) as project_count,
         count(*) filter (where funding_category = 'funded') as funded_project_count,
@@ -394,27 +393,32 @@ placed as (
     select *, row_number() over (
         partition by competition_level, wallet_type order by amount_received desc, id) - 1 as place
     from segments where funding_category = 'funded'
-),
-pages as (
-    select competition_level, wallet_type, cast(place // {page_rows} as integer) as examples_page,
+)"""
+
+PAGES = """pages as (
+    select competition_level, wallet_type, cast(place // 25 as integer) as examples_page,
         cast(to_json(list(struct_pack(title := title, funding_received := amount_received,
             has_github := has_active_github, github_repos := github_repo_count) order by place))
             as varchar) as top_funded_examples
     from placed group by 1, 2, 3
-)
-select m.*, coalesce(p.examples_page, 0) as examples_page, p.top_funded_examples,
-    cast(case m.competition_level when 'direct_competitor' then 100 when 'existing_competitor' then 75
+)"""
+
+SCORE = """cast(case m.competition_level when 'direct_competitor' then 100 when 'existing_competitor' then 75
         when 'indirect_competitor' then 50 when 'ecosystem_enabler' then 25 else 10 end
     + case when funding_success_rate > 30 then 20 else 0 end
     + case when total_funding_received > 10000000000 then 15 else 0 end as integer)
-        as strategic_priority_score
+        as strategic_priority_score"""
+
+ORACLE["landscape"] = f"{LANDSCAPE} select m.*, {SCORE} from metrics m"
+ORACLE["landscape_examples"] = f"""{LANDSCAPE}
+select competition_level, wallet_type, id, title, amount_received as funding_received,
+    has_active_github as has_github, github_repo_count as github_repos, place
+from placed"""
+ORACLE["landscape_paged"] = ORACLE["landscape_sliced"] = f"""{LANDSCAPE}, {PAGES}
+select m.*, coalesce(p.examples_page, 0) as examples_page, p.top_funded_examples, {SCORE}
 from metrics m left join pages p
     on m.competition_level = p.competition_level and m.wallet_type = p.wallet_type"""
 
-
-ORACLE["landscape"] = landscape(10_000)
-ORACLE["landscape_paged"] = ORACLE["landscape_sliced"] = landscape(25)
-
 ORACLE["map_entity_links"] = """with staged as (
     select page_id as id, case when url like 'https%' then url end as website, url as link from pages
 ),

@@ -29,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Small enough that the split paths run at test size too.
-SMALL_SLICE = 200
+COARSE = 200.0
 
 
 def query(fn: Query) -> Query:
@@ -73,7 +73,7 @@ def median_gap_vs_top_sliced(spark, sf):
     events = table(spark, sf, "events").select("event_type", "ts")
     return activity.median_gap_vs_top(
         events, "event_type", "ts", "error", n=3, pinned_label="pinned", with_group=True,
-        out="median_days", digits=6, slice_rows=SMALL_SLICE,
+        out="median_days", digits=6, grain=COARSE,
     )
 
 
@@ -146,7 +146,7 @@ def latest_per_key(spark, sf):
     return windows.latest_per_key(lines, ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
-def _previous_event(spark: SparkSession, sf: str, **sizes: int) -> DataFrame:
+def _previous_event(spark: SparkSession, sf: str, **sizes: float) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "event_type", "ts")
     return windows.with_previous(events, "event_type", "ts", **sizes)
 
@@ -158,7 +158,7 @@ def previous_event(spark, sf):
 
 @query
 def previous_event_sliced(spark, sf):
-    return _previous_event(spark, sf, slice_rows=SMALL_SLICE)
+    return _previous_event(spark, sf, grain=COARSE)
 
 
 @query
@@ -174,10 +174,10 @@ def gap_counts(spark, sf):
 
 @query
 def gap_counts_sliced(spark, sf):
-    return _gap_counts(spark, sf, slice_rows=SMALL_SLICE)
+    return _gap_counts(spark, sf, grain=COARSE)
 
 
-def _gap_counts(spark: SparkSession, sf: str, **sizes: int) -> DataFrame:
+def _gap_counts(spark: SparkSession, sf: str, **sizes: float) -> DataFrame:
     """Gaps between order dates per nation: many orders share a day."""
     gaps = windows.gap_counts(
         roles.feature_orders(spark, sf), "repository", "closed_at", **sizes
@@ -200,7 +200,7 @@ def quantile_by_key_sliced(spark, sf):
         "l_returnflag", "l_linestatus", roles.cents("l_extendedprice").alias("price")
     )
     p90 = exact_quantile(
-        lines, ["l_returnflag", "l_linestatus"], "price", 0.9, "p90", slice_rows=SMALL_SLICE
+        lines, ["l_returnflag", "l_linestatus"], "price", 0.9, "p90", grain=COARSE
     )
     return p90.withColumn("p90", F.round("p90", 4))
 
@@ -340,7 +340,7 @@ def funding_summary(spark, sf):
 @query
 def funding_summary_sliced(spark, sf):
     return _summary(funding.funding_summary(
-        _enriched(spark, sf), _staged_funds(spark, sf), roles.SEGMENT_COUNTS, slice_rows=20
+        _enriched(spark, sf), _staged_funds(spark, sf), roles.SEGMENT_COUNTS, grain=COARSE
     ))
 
 
@@ -359,14 +359,29 @@ def segment_projects(spark, sf):
     )
 
 
-def _landscape(spark: SparkSession, sf: str, **sizes: int) -> DataFrame:
-    found = segments.landscape(
+def _landscape(spark: SparkSession, sf: str) -> DataFrame:
+    return segments.landscape(
         _segments(spark, sf, False), bonuses=[
             ("funding_success_rate", 30, 20), ("total_funding_received", 10_000_000_000, 15),
-        ], **sizes,
+        ],
     )
+
+
+def _landscape_pages(spark: SparkSession, sf: str, **sizes: float) -> DataFrame:
+    """The metrics with the examples in pages of 25."""
+    funded = _segments(spark, sf, False).filter("funding_category = 'funded'")
+    example = F.struct(
+        "title", F.col("amount_received").alias("funding_received"),
+        F.col("has_active_github").alias("has_github"),
+        F.col("github_repo_count").alias("github_repos"),
+    )
+    pages = windows.ranked_pages(
+        funded, segments.GROUP, "amount_received", example, 25, ["id"], "top_funded_examples", **sizes
+    ).withColumnRenamed("page", "examples_page")
     as_json = F.to_json("top_funded_examples", {"ignoreNullFields": "false"})
-    return found.withColumn("top_funded_examples", as_json)
+    return _landscape(spark, sf).join(pages, segments.GROUP, "left").withColumns({
+        "examples_page": F.coalesce("examples_page", F.lit(0)), "top_funded_examples": as_json,
+    })
 
 
 @query
@@ -374,14 +389,19 @@ def landscape(spark, sf):
     return _landscape(spark, sf)
 
 
+@query
+def landscape_examples(spark, sf):
+    return segments.landscape_examples(_segments(spark, sf, False))
+
+
 @query
 def landscape_paged(spark, sf):
-    return _landscape(spark, sf, page_rows=25)
+    return _landscape_pages(spark, sf)
 
 
 @query
 def landscape_sliced(spark, sf):
-    return _landscape(spark, sf, page_rows=25, slice_rows=60)
+    return _landscape_pages(spark, sf, grain=COARSE)
 
 
 @query
@@ -605,7 +625,7 @@ def landing_pull_requests(spark, sf):
 
 @query
 def landing_releases(spark, sf):
-    root = _land(roles.raw_releases(spark, sf).drop("fetched_at").repartition(8), "releases")
+    root = _land(roles.raw_releases(spark, sf).drop("fetched_at"), "releases")
     limit = landing.limits("dev")["max_releases"]
     return landing.read_releases(spark, root, NOW, max_per_repo=limit).groupBy(
         "repository_full_name"

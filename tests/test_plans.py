@@ -99,14 +99,14 @@ def funded(i, fund, amount, **more):
             "amount_received": amount, "amount_requested": amount * 2, **more}
 
 
-@pytest.mark.parametrize("slice_rows", [2, 1_000])
-def test_funding_summary(spark, funds, slice_rows):
+@pytest.mark.parametrize("grain", [1, 1e6])
+def test_funding_summary(spark, funds, grain):
     rows = enriched(
         spark, funded(1, 1, 10, **{k: GITHUB[k] for k in ("categories", "has_github", "github_links")}),
         funded(2, 1, 40), funded(3, 1, 30), funded(4, 1, 20, title="wallet"), funded(5, 2, 7),
         funded(6, None, 9), {**funded(7, 1, 0)},
     )
-    got = funding.funding_summary(rows, funds, slice_rows=slice_rows).collect()
+    got = funding.funding_summary(rows, funds, grain=grain).collect()
     assert [r["fund_id"] for r in got] == [2, 1, None]
     one = got[1]
     assert one["fund_title"] == "Fund 1" and got[2]["fund_title"] is None
@@ -144,21 +144,21 @@ def test_segments(spark, funds):
     assert [r["fund_title"] for r in got][:2] == ["Fund 1", None]
 
 
-@pytest.mark.parametrize("slice_rows", [1, 1_000])
-def test_landscape(spark, funds, slice_rows):
+@pytest.mark.parametrize("grain", [1, 1e6])
+def test_landscape(spark, funds, grain):
     more = [funded(100 + i, 1, 60_000 + i, title="Yoroi wallet") for i in range(3)]
     found = segments.segment_projects(enriched(spark, *SEGMENTED, *more), funds, ordered=False)
-    got = segments.landscape(found, page_rows=3, slice_rows=slice_rows).collect()
+    got = segments.landscape(found).collect()
+    listed = segments.landscape_examples(found, grain).filter("wallet_type = 'yoroi'").collect()
+    assert sorted((r["place"], r["funding_received"]) for r in listed) == [
+        (0, 60_002), (1, 60_001), (2, 60_000), (3, 200)]
     yoroi = [r for r in got if r["wallet_type"] == "yoroi"]
-    assert [r["examples_page"] for r in yoroi] == [0, 1]
-    listed = [e["funding_received"] for r in yoroi for e in r["top_funded_examples"]]
-    assert listed == [60_002, 60_001, 60_000, 200]
+    assert len(yoroi) == 1
     assert yoroi[0]["project_count"] == 4 and yoroi[0]["funding_success_rate"] == 100.0
     # 75 for the level, 20 for the success rate, 15 for the total.
     assert yoroi[0]["strategic_priority_score"] == 110
     none = [r for r in got if r["wallet_type"] == "wallet_infrastructure"]
-    assert [(r["top_funded_examples"], r["total_funding_received"], r["avg_funding_per_funded_project"])
-            for r in none] == [(None, 0, None)] * 2
+    assert [(r["total_funding_received"], r["avg_funding_per_funded_project"]) for r in none] == [(0, None)] * 2
     scores = [r["strategic_priority_score"] for r in got]
     assert scores == sorted(scores, reverse=True) and scores[0] == 120
 
@@ -244,8 +244,8 @@ def test_pinned_against_top(spark, values):
     assert plan.count("Scan") <= 3
 
 
-@pytest.mark.parametrize("slice_rows", [1, 1_000])
-def test_median_gaps(spark, slice_rows):
+@pytest.mark.parametrize("grain", [1, 1e6])
+def test_median_gaps(spark, grain):
     events = activity.features(pulls(
         spark,
         ("Add", "r", "2024-01-01T00:00:00Z"), ("Add", "r", "2024-01-02T00:00:00Z"),
@@ -257,7 +257,7 @@ def test_median_gaps(spark, slice_rows):
         ("Add", "same", "2024-01-01T00:00:00Z"), ("Add", "same", "2024-01-09T00:00:00Z"),
     ))
     got = activity.median_gap_vs_top(
-        events, "repository", "closed_at", "r", out="median", with_group=True, slice_rows=slice_rows
+        events, "repository", "closed_at", "r", out="median", with_group=True, grain=grain
     ).collect()
     assert [tuple(r) for r in got] == [
         ("same", 0.0, "top_10"), ("r", 1.75, "lace"), ("one", None, "top_10"),

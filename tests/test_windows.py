@@ -1,4 +1,4 @@
-"""Window and skew operators against plain Python, with and without heavy keys."""
+"""Window and skew operators against plain Python, with slices of several sizes."""
 
 import random
 from collections import Counter, defaultdict
@@ -40,15 +40,15 @@ def previous_by_hand(rows):
     return out
 
 
-@pytest.mark.parametrize("slice_rows", [10, 100, 1_000_000])
-def test_with_previous(events, slice_rows):
+@pytest.mark.parametrize("grain", [0.01, 1, 1e6])
+def test_with_previous(events, grain):
     rows, df = events
-    got = windows.with_previous(df, "k", "ts", "prev", slice_rows).select("k", "ts", "prev").collect()
+    got = windows.with_previous(df, "k", "ts", "prev", grain).select("k", "ts", "prev").collect()
     assert Counter(tuple(r) for r in got) == previous_by_hand(rows)
 
 
-@pytest.mark.parametrize("slice_rows", [10, 1_000_000])
-def test_gap_counts(events, slice_rows):
+@pytest.mark.parametrize("grain", [0.01, 1, 1e6])
+def test_gap_counts(events, grain):
     rows, df = events
     wanted = Counter()
     for (key, at, before), n in previous_by_hand(rows).items():
@@ -56,69 +56,56 @@ def test_gap_counts(events, slice_rows):
             gap = None if at is None else (at - before) / timedelta(days=1)
             wanted[key, gap] += n
     got = Counter()
-    for key, gap, n in windows.gap_counts(df, "k", "ts", slice_rows).collect():
+    for key, gap, n in windows.gap_counts(df, "k", "ts", grain=grain).collect():
         got[key, gap] += n
     assert got == wanted
 
 
 @pytest.mark.parametrize("q", [0.0, 0.5, 0.9, 1.0])
-@pytest.mark.parametrize("slice_rows", [25, 1_000_000])
-def test_exact_quantile(events, q, slice_rows):
+@pytest.mark.parametrize("grain", [1, 300, 1e6])
+def test_exact_quantile(events, q, grain):
     rows, df = events
     groups = defaultdict(list)
     for _, key, _, v in rows:
         groups[key].append(v)
-    got = {r[0]: r[1] for r in skew.exact_quantile(df, "k", "v", q, "p", slice_rows=slice_rows).collect()}
+    got = {r[0]: r[1] for r in skew.exact_quantile(df, "k", "v", q, "p", grain=grain).collect()}
     assert got == {k: pytest.approx(np.quantile(v, q)) for k, v in groups.items()}
 
 
-@pytest.mark.parametrize("slice_rows", [5, 1_000_000])
-def test_weighted_quantile_ignores_nulls(spark, slice_rows):
+@pytest.mark.parametrize("grain", [1, 1e6])
+def test_weighted_quantile_ignores_nulls(spark, grain):
     rows = [("x", float(i % 40), 1 + i % 7) for i in range(200)] + [("x", None, 50), ("y", None, 3)]
     df = spark.createDataFrame(rows, "k string, v double, n int")
     values = [v for _, v, n in rows if v is not None for _ in range(n)]
-    got = skew.exact_quantile(df, "k", "v", 0.5, "m", "n", slice_rows).filter("m is not null").collect()
+    got = skew.exact_quantile(df, "k", "v", 0.5, "m", "n", grain).filter("m is not null").collect()
     assert [tuple(r) for r in got] == [("x", np.median(values))]
 
 
-def test_slices_follow_the_order(events):
-    _, df = events
-    rows = skew.order_slices(df, "k", "v", slice_rows=50).collect()
-    assert max(r["_slice"] for r in rows) > 3
-    by_key = defaultdict(list)
-    for r in rows:
-        by_key[r["k"]].append((r["v"], r["_slice"]))
-    for pairs in by_key.values():
-        pairs.sort()
-        slices = [s for _, s in pairs]
-        assert slices == sorted(slices)
-        assert len({v: s for v, s in pairs}) == len(set(pairs))
-    sizes = Counter((r["k"], r["_slice"]) for r in rows)
-    assert max(sizes.values()) <= 100
-
-
-def test_slices_of_all_keys_share_a_budget(events, monkeypatch):
-    _, df = events
-    monkeypatch.setattr(skew, "TOTAL_SLICES", 6)
-    rows = skew.order_slices(df, "k", "v", slice_rows=10).collect()
-    assert len({(r["k"], r["_slice"]) for r in rows}) <= 6 + 6
-
-
-def test_light_keys_are_not_split(events):
-    _, df = events
-    rows = skew.order_slices(df, "k", "v", slice_rows=800).collect()
-    assert {r["k"] for r in rows if r["_slice"] > 0} == {"hot"}
+@pytest.mark.parametrize("column, made", [
+    ("double", "case when id % 50 = 0 then double('nan') when id % 7 = 0 then -pow(10, id % 30) "
+               "when id = 1 then double('infinity') else pow(1.01, id) end"),
+    ("timestamp_ntz", "timestamp_ntz '1969-12-30 12:00:00' + make_dt_interval(0, 0, id * 37)"),
+    ("timestamp", "timestamp '1969-12-30 12:00:00' + make_dt_interval(0, 0, id * 37)"),
+    ("string", "cast(timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, id * 37) as string)"),
+    ("date", "date_add(date '2024-01-01', cast(id as int))"),
+])
+def test_slices_follow_the_order(spark, column, made):
+    df = spark.range(400).select(F.expr(made).cast(column).alias("v"))
+    rows = df.select("v", skew.slice_of(df, "v", 0.7).alias("s")).orderBy("v").collect()
+    slices = [r["s"] for r in rows]
+    assert slices == sorted(slices) and len(set(slices)) > 5
+    assert df.select(F.lit(None).cast(column).alias("v")).select(skew.slice_of(df, "v")).first()[0] is None
 
 
 @pytest.mark.parametrize("page_rows", [7, 100, 10_000])
-@pytest.mark.parametrize("slice_rows", [20, 1_000_000])
-def test_ranked_pages_keep_every_item_in_order(events, page_rows, slice_rows):
+@pytest.mark.parametrize("grain", [1, 300, 1e6])
+def test_ranked_pages_keep_every_item_in_order(events, page_rows, grain):
     rows, df = events
     groups = defaultdict(list)
     for i, key, _, v in rows:
         groups[key].append((-v, i))
     got = windows.ranked_pages(
-        df, "k", "v", F.col("id"), page_rows, ["id"], "ids", slice_rows
+        df, "k", "v", F.col("id"), page_rows, ["id"], "ids", grain
     ).collect()
     listed = defaultdict(list)
     for key, page, ids in sorted(got, key=lambda r: r["page"]):
@@ -135,20 +122,35 @@ def test_pages_of(spark):
     assert row[1] is None
 
 
-def test_heavy_keys_without_any_time_or_with_one_instant(spark):
+def test_keys_without_any_time_or_with_one_instant(spark):
     rows = [("none", None, i) for i in range(50)] + [("same", START, i) for i in range(50)]
     rows += [("nan", START + timedelta(days=i % 3), i) for i in range(50)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v int")
-    got = windows.with_previous(df, "k", "ts", "prev", 5).select("k", "ts", "prev").collect()
+    got = windows.with_previous(df, "k", "ts", "prev").select("k", "ts", "prev").collect()
     wanted = previous_by_hand([(v, k, at, v) for k, at, v in rows])
     assert Counter(tuple(r) for r in got) == wanted
     value = F.when(F.col("k") == "nan", F.lit(float("nan"))).otherwise(F.col("v").cast("double"))
     nulls = df.withColumn("x", F.when(F.col("k") != "none", value))
-    found = {r["k"]: r["m"] for r in skew.exact_quantile(nulls, "k", "x", 0.5, "m", slice_rows=5).collect()}
+    found = {r["k"]: r["m"] for r in skew.exact_quantile(nulls, "k", "x", 0.5, "m").collect()}
     assert set(found) == {"same", "nan"}
     assert found["same"] == 24.5 and np.isnan(found["nan"])
 
 
+def test_one_key_a_third_null_a_third_tied(spark):
+    """Copies of one row, rows tied in time and rows without time, all of one key."""
+    rows = [("hot", None if i % 3 == 0 else START if i % 3 == 1 else START + timedelta(minutes=i), i // 9)
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v int").repartition(7)
+    got = windows.with_previous(df, "k", "ts", "prev").collect()
+    assert Counter((r["k"], r["ts"], r["v"]) for r in got) == Counter(rows)
+    wanted = previous_by_hand([(v, k, at, v) for k, at, v in rows])
+    assert Counter((r["k"], r["ts"], r["prev"]) for r in got) == wanted
+    nulls = df.withColumn("x", F.when(F.col("ts").isNotNull(), F.least("v", F.lit(100))))
+    held = sorted(min(v, 100) for _, at, v in rows if at is not None)
+    assert skew.exact_quantile(nulls, "k", "x", 0.3, "m").first()["m"] == pytest.approx(np.quantile(held, 0.3))
+    assert windows.cap_per_key(df, "k", 1234, ["ts"]).count() == 1234
+
+
 def test_latest_per_key(spark, values):
     df = spark.createDataFrame(
         [("r", "v1", "2024-01-01", 1), ("r", "v1", "2024-02-01", 2), ("r", "v1", None, 3),
