@@ -412,7 +412,7 @@ SCORE = """cast(case m.competition_level when 'direct_competitor' then 100 when
 ORACLE["landscape"] = f"{LANDSCAPE} select m.*, {SCORE} from metrics m"
 ORACLE["landscape_examples"] = f"""{LANDSCAPE}
 select competition_level, wallet_type, id, title, amount_received as funding_received,
-    has_active_github as has_github, github_repo_count as github_repos, place
+    has_active_github as has_github, cast(github_repo_count as integer) as github_repos, place
 from placed"""
 ORACLE["landscape_paged"] = ORACLE["landscape_sliced"] = f"""{LANDSCAPE}, {PAGES}
 select m.*, coalesce(p.examples_page, 0) as examples_page, p.top_funded_examples, {SCORE}
