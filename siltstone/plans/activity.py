@@ -75,6 +75,17 @@ def release_times(releases: DataFrame) -> DataFrame:
     return releases.select("repository", as_time(releases, "published_at").alias("published_at"))
 
 
+def latest_release_times(raw: DataFrame) -> DataFrame:
+    """:func:`release_times` straight from raw releases: the last time per repository and tag.
+
+    A hash aggregate over parsed times; no release travels or is sorted whole.
+    """
+    rows = raw.filter(F.col("published_at").isNotNull())
+    return rows.groupBy(F.col("repository_full_name").alias("repository"), "tag_name").agg(
+        F.max(as_time(raw, "published_at")).alias("published_at")
+    ).select("repository", "published_at")
+
+
 def _monthly(events: DataFrame, key: str, ts: str, month: str, count: str) -> DataFrame:
     return events.groupBy(key, month_of(ts).alias(month)).agg(F.count(F.lit(1)).alias(count))
 

@@ -100,7 +100,7 @@ def staged_releases(spark, sf):
 
 
 def _releases(spark: SparkSession, sf: str) -> DataFrame:
-    return activity.release_times(activity.stage_releases(roles.raw_releases(spark, sf)))
+    return activity.latest_release_times(roles.raw_releases(spark, sf))
 
 
 @query

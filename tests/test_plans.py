@@ -272,6 +272,8 @@ def test_staged_releases(spark, values):
     ).withColumn("fetched_at", F.lit("x"))
     staged = activity.stage_releases(schemas.conform(df, schemas.RELEASES))
     assert values(staged, "id", "tag", "row_num") == [(2, "v1", 1), (5, "v2", 1)]
+    whole = schemas.conform(df, schemas.RELEASES)
+    assert sorted(activity.latest_release_times(whole).collect()) == sorted(activity.release_times(staged).collect())
     plan = activity.release_times(staged)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("body") <= 1
 
