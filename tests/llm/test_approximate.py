@@ -244,6 +244,24 @@ def test_fingerprints_against_python(spark):
         assert r.sim is None if len(hashes) < 5 else r.sim & (2**64 - 1) == want
 
 
+def test_lines_with_a_fifth_of_other_words_meet(spark):
+    # Each line and a copy of it, of each length; unlike lines stay.
+    rng = np.random.default_rng(5)
+    texts = []
+    for n in list(range(5, 19)) * 3 + [25, 40, 80] * 5:
+        words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n)]
+        other = list(words)
+        for i in rng.choice(n, n // 5, replace=False):
+            other[i] = "".join(rng.choice(list("klmnopqrst"), 6))
+        texts += [" ".join(words), " ".join(other)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    told = {r.doc_id: r.removed for r in lines.repeated_lines(df).collect()}
+    near_pairs = [(a, b) for b, t in enumerate(texts) for a in range(max(0, b - 1), b)
+                  if distance(texts[a], t) <= 0.2 * max(len(texts[a]), len(t))]
+    assert len(near_pairs) == len(texts) // 2
+    assert all(told[a] == [] and told[b] == [0] for a, b in near_pairs)
+
+
 def test_lines_of_edge_cases(edges, empty):
     told = lines.repeated_lines(edges).collect()
     assert len(told) == edges.count()
