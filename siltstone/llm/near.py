@@ -5,7 +5,8 @@ each labelled with the number of its occurrence, so repeats count. A sketch
 takes the ``TAKEN`` k-mers of least hash and hashes them in the order in which
 they stand in the text: texts that hold the same parts in another order get
 another sketch, which follows edit similarity more closely than a set does.
-Texts with one of ``SKETCHES`` sketches in common are candidates.
+Texts with one of ``SKETCHES`` sketches in common are candidates. So are short
+texts that share any run of three words.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ K = 5
 TAKEN = 6
 SKETCHES = 40
 SIMILARITY = 0.8
+# Up to SHORT words all runs of three words are keys, up to PAIR_WORDS those of two: with a
+# fifth of the words edited one of them is left whole.
+SHORT = 40
+PAIR_WORDS = 8
 # Size of the bitmap of a text's words: sharp up to some thousand words, right for any.
 BAG_BITS = 4096
 
@@ -84,6 +89,15 @@ def sketches(h: np.ndarray, k: int = K, taken: int = TAKEN, count: int = SKETCHE
     return np.concatenate(out)
 
 
+def run_keys(h: np.ndarray) -> np.ndarray:
+    """Hashes of all short runs of words of a short text."""
+    keys = [np.zeros(0, np.uint64)]
+    for run, most in ((3, SHORT), (2, PAIR_WORDS)):
+        if run <= len(h) <= most:
+            keys.append(mixed(_labelled(h, run) + np.uint64(run)))
+    return np.concatenate(keys)
+
+
 def _sketch_rows(k: int, taken: int, count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
@@ -94,7 +108,7 @@ def _sketch_rows(k: int, taken: int, count: int):
                     known.clear()
                 h = _word_hashes(words_of(text), known)
                 n.append(len(h))
-                bands.append(signed(sketches(h, k, taken, count)) if len(h) else None)
+                bands.append(signed(np.concatenate([sketches(h, k, taken, count), run_keys(h)])) if len(h) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("th"), batch.column("text").is_null(),
                  pa.array(n, pa.int32()), pa.array(bands, pa.list_(pa.int64()))],
@@ -294,7 +308,7 @@ def near_duplicates(
     empty ones too) is grouped with equal texts only; a null text with no other
     row. Groups with null ids only have a null class_id.
 
-    Candidates share a sketch. A class is verified against the least one that it
+    Candidates share a sketch or a key of ``run_keys``. A class is verified against the least one that it
     meets in any bucket, then, if still apart from them, against the least ones
     of its other buckets; at last classes of one bucket that are still in
     different groups are verified against each other, but for pairs whose words
@@ -306,7 +320,7 @@ def near_duplicates(
         _sketch_rows(k, taken, count), "doc_id long, th long, none boolean, n int, bands array<long>"), "sketches")
     classes = save(rows.filter("not none").groupBy("th").agg(
         F.min("doc_id").alias("id"), F.max("n").alias("n")), "classes")
-    links = _links(texts, rows, classes, least)
+    links = _links(texts, rows, classes, count, least)
     groups = components(links)
     named = classes.drop("n").join(groups, classes["th"] == groups["node"], "left").select(
         "th", "id", F.coalesce("root", "th").alias("root"))
@@ -325,10 +339,11 @@ def near_duplicates(
         "doc_id", "th", "n_words", "class_id", "kept", "n_same")
 
 
-def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, count: int, least: float) -> DataFrame:
     """Verified pairs (a, b) of classes that join all that share a bucket and are similar."""
     bands = rows.select("th", "n", F.posexplode("bands").alias("i", "v")).select(
-        F.xxhash64("i", "v").alias("band"), "th", "n")
+        # Behind the sketches stand runs of words, whose place says nothing.
+        F.xxhash64(F.least("i", F.lit(count)), "v").alias("band"), "th", "n")
     buckets = bands.groupBy("band").agg(F.min("th").alias("pivot"), F.max("th").alias("top"))
     buckets = save(buckets.filter("pivot <> top").drop("top"), "buckets")
     members = save(bands.join(buckets, "band").distinct(), "members")

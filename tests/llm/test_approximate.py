@@ -189,6 +189,29 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.class_id for r in told} == {0, 900} and sum(r.kept for r in told) == 2
 
 
+def copies(rng, sizes, edits):
+    """(text, copy) with scattered changed words, and for short texts one more word."""
+    for n in sizes:
+        words = [f"w{x}" for x in rng.integers(0, 10**9, n)]
+        other = list(words)
+        for i in rng.choice(n, max(1, int(n * edits)), replace=False):
+            other[i] = f"x{rng.integers(0, 10**9)}"
+        yield words, other
+        if n < 20:
+            at = n // 2
+            yield (words := [f"v{x}" for x in rng.integers(0, 10**9, n)]), [*words[:at], "more", *words[at:]]
+
+
+def test_short_copies_are_found(spark):
+    # Every change of the operator's rule, against the full table.
+    both = list(copies(np.random.default_rng(4), list(range(5, 13)) * 6 + [20, 30, 40] * 4, 0.2))
+    texts = [t for pair in both for t in pair]
+    told = {r.doc_id: r.class_id for r in near.near_duplicates(
+        spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert all(distance(a, b) <= 0.2 * max(len(a), len(b)) for a, b in both)
+    assert told == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_near_duplicates_of_edge_cases(edges, empty):
     told = near.near_duplicates(edges).collect()
     assert len(told) == edges.count()
