@@ -5,8 +5,9 @@ each labelled with the number of its occurrence, so repeats count. A sketch
 takes the ``TAKEN`` k-mers of least hash and hashes them in the order in which
 they stand in the text: texts that hold the same parts in another order get
 another sketch, which follows edit similarity more closely than a set does.
-Texts with one of ``SKETCHES`` sketches in common are candidates. So are short
-texts that share any run of three words.
+Texts with one of ``SKETCHES`` sketches in common are candidates. So are texts
+that share one of the least k-mers of ``PARTS`` ranges, as scattered edits leave
+few k-mers in common, and short texts that share any run of three words.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ K = 5
 TAKEN = 6
 SKETCHES = 40
 SIMILARITY = 0.8
+# Ranges of hashes whose least k-mer is a key of its own.
+PARTS = 24
 # Up to SHORT words all runs of three words are keys, up to PAIR_WORDS those of two: with a
 # fifth of the words edited one of them is left whole.
 SHORT = 40
@@ -89,9 +92,12 @@ def sketches(h: np.ndarray, k: int = K, taken: int = TAKEN, count: int = SKETCHE
     return np.concatenate(out)
 
 
-def run_keys(h: np.ndarray) -> np.ndarray:
-    """Hashes of all short runs of words of a short text."""
-    keys = [np.zeros(0, np.uint64)]
+def run_keys(h: np.ndarray, k: int = K) -> np.ndarray:
+    """Single k-mers as keys: the least one of each range, of a short text all shorter ones too."""
+    v = mixed(_labelled(h, k) + np.uint64(k))
+    least = np.full(PARTS, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    np.minimum.at(least, (v % np.uint64(PARTS)).astype(np.int64), v)
+    keys = [least[least != np.uint64(0xFFFFFFFFFFFFFFFF)]]
     for run, most in ((3, SHORT), (2, PAIR_WORDS)):
         if run <= len(h) <= most:
             keys.append(mixed(_labelled(h, run) + np.uint64(run)))
@@ -108,7 +114,7 @@ def _sketch_rows(k: int, taken: int, count: int):
                     known.clear()
                 h = _word_hashes(words_of(text), known)
                 n.append(len(h))
-                bands.append(signed(np.concatenate([sketches(h, k, taken, count), run_keys(h)])) if len(h) else None)
+                bands.append(signed(np.concatenate([sketches(h, k, taken, count), run_keys(h, k)])) if len(h) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("th"), batch.column("text").is_null(),
                  pa.array(n, pa.int32()), pa.array(bands, pa.list_(pa.int64()))],
@@ -342,7 +348,7 @@ def near_duplicates(
 def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, count: int, least: float) -> DataFrame:
     """Verified pairs (a, b) of classes that join all that share a bucket and are similar."""
     bands = rows.select("th", "n", F.posexplode("bands").alias("i", "v")).select(
-        # Behind the sketches stand runs of words, whose place says nothing.
+        # Behind the sketches stand single k-mers, whose place says nothing.
         F.xxhash64(F.least("i", F.lit(count)), "v").alias("band"), "th", "n")
     buckets = bands.groupBy("band").agg(F.min("th").alias("pivot"), F.max("th").alias("top"))
     buckets = save(buckets.filter("pivot <> top").drop("top"), "buckets")

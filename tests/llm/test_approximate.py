@@ -212,6 +212,14 @@ def test_short_copies_are_found(spark):
     assert told == {i: i - i % 2 for i in range(len(texts))}
 
 
+def test_copies_with_scattered_edits_are_candidates():
+    rng = np.random.default_rng(8)
+    for edits, part in ((0.05, 0.99), (0.1, 0.99), (0.15, 0.98)):
+        found = [bool(np.intersect1d(*(near.run_keys(near._word_hashes(w, {})) for w in pair)).size)
+                 for pair in copies(rng, [200] * 200, edits)]
+        assert np.mean(found) >= part
+
+
 def test_near_duplicates_of_edge_cases(edges, empty):
     told = near.near_duplicates(edges).collect()
     assert len(told) == edges.count()
