@@ -1,3 +1,29 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op13_middles"] = """
+with drawn as (
+    select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n,
+        sha256('1:' || coalesce(doc_id::varchar, '')) as h
+    from documents
+), numbers as (
+    select doc_id, t, n, ('0x' || substr(h, 1, 8))::bigint % (n + 1) as x, ('0x' || substr(h, 9, 8))::bigint % (n + 1) as y,
+        ('0x' || substr(h, 17, 8))::bigint % 100 as plain, ('0x' || substr(h, 25, 8))::bigint % 100 as late
+    from drawn
+), formed as (
+    select doc_id, t, n, least(x, y) as a, greatest(x, y) as b,
+        case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or plain >= 90 then 'plain'
+             when late < 20 then 'spm' else 'psm' end as form
+    from numbers
+), cut as (
+    select *, substr(t, 1, a) as p, substr(t, a + 1, b - a) as m, substr(t, b + 1) as s from formed
+)
+select doc_id, n, form,
+    case when form <> 'plain' then a end as prefix_chars,
+    case when form <> 'plain' then b - a end as middle_chars,
+    sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+        else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+    sha256(t) as restored_sha256
+from cut
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat, decontaminate, language, lines, mixing, near, quality, shards, suffixes, tokens
+from siltstone.llm import chat, decontaminate, language, lines, middles, mixing, near, quality, shards, suffixes, tokens
 from siltstone.llm.common import read, save
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,12 @@ def op9_chats(spark, sf):
 @query
 def op10_repeats(spark, sf):
     return suffixes.remove_repeats(read(spark, sf, "documents"))
+
+
+@query
+def op13_middles(spark, sf):
+    """Digests of the fill-in-middle texts and of what is rebuilt from them."""
+    told = middles.fill_in_middle(read(spark, sf, "documents"))
+    return told.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middles.restored(), 256).alias("restored_sha256"))
