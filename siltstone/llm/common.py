@@ -42,6 +42,24 @@ def save(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """The tables of an iteration, of which only the newest is kept."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.root, self.n = spark, workspace(spark, purpose), 0
+
+    def save(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` as the next table and remove the one before, which only ``df`` may have read."""
+        path = f"{self.root}/{self.n}"
+        df.write.parquet(path)
+        if self.n:
+            jvm = self.spark._jvm
+            old = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{self.n - 1}")
+            old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+        self.n += 1
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column end to end, and where each row starts (nulls are empty)."""
     if isinstance(column, pa.ChunkedArray):

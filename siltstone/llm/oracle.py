@@ -27,3 +27,78 @@ select doc_id, n, form,
     sha256(t) as restored_sha256
 from cut
 """
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """Rounds of assignment by all distances, and of means, one CTE each."""
+    ctes = [
+        f"""kept as materialized (
+    select row_number() over (order by vec_id) as r, vec_id, label,
+        list_transform(embedding, lambda x: floor({scale} * x::double)) as v
+    from embeddings
+    where embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+)""",
+        f"""part as materialized (
+    select r, p, list_slice(v, p * w + 1, (p + 1) * w) as v
+    from (select r, v, len(v) // {parts} as w from kept), (select unnest(range({parts})) as p)
+)""",
+        f"""book0 as materialized (
+    select part.p, k.e, part.v as c
+    from part join (select r, row_number() over (order by vec_id) - 1 as e from kept qualify e < {entries}) k on part.r = k.r
+)""",
+    ]
+    for i in range(rounds + 1):
+        # Whole numbers below 2**53, so the doubles are exact.
+        ctes.append(f"""near{i} as materialized (
+    select r, part.p, any_value(v) as v, min(struct_pack(d := list_inner_product(v, v) - 2 * list_inner_product(v, c)
+        + list_inner_product(c, c), e := e)) as best
+    from part join book{i} b on part.p = b.p
+    group by r, part.p
+)""")
+        if i < rounds:
+            ctes.append(f"""mean{i} as materialized (
+    select p, e, list(m order by j) as c
+    from (
+        select p, best.e as e, j, floor(sum(x) / count(*)) as m
+        from (select p, best, unnest(v) as x, generate_subscripts(v, 1) as j from near{i})
+        group by all
+    )
+    group by p, e
+)""")
+            ctes.append(f"""book{i + 1} as materialized (
+    select b.p, b.e, coalesce(m.c, b.c) as c from book{i} b left join mean{i} m on b.p = m.p and b.e = m.e
+)""")
+    ctes.append(f"""coded as (
+    select r, string_agg(lower(printf('%02x', best.e)), '' order by p) as code, sum(best.d)::bigint as error
+    from near{rounds} group by r
+)""")
+    ctes.append(f"""digest as (
+    select sha256(string_agg(x::bigint::varchar, ',' order by p, e, j)) as codebooks_sha256
+    from (select p, e, unnest(c) as x, generate_subscripts(c, 1) as j from book{rounds})
+)""")
+    return "with " + ",\n".join(ctes) + """
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256
+from coded join kept using (r), digest
+"""
+
+
+ORACLE["op11_codes"] = _codes_sql()
+
+# All pairs. The graph search is approximate; on the tables of the comparison it finds every neighbour.
+ORACLE["op12_neighbours"] = """
+with rows as (
+    select distinct vec_id, list_transform(embedding, lambda x: x::double) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored as (
+    select q.vec_id as query_id, q.v as q, c.vec_id,
+        list_reduce(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]), lambda s, x: s + x, 0.0::double) as score
+    from rows q join rows c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id
+)
+select query_id, (row_number() over (partition by query_id, q order by score desc, vec_id))::integer as rank, vec_id, score
+from scored
+qualify rank <= 20
+"""

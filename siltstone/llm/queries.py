@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat, decontaminate, language, lines, middles, mixing, near, quality, shards, suffixes, tokens
+from siltstone.llm import chat, codes, decontaminate, language, lines, middles, mixing, near, neighbours, quality, shards, suffixes, tokens
 from siltstone.llm.common import read, save
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,20 @@ def op10_repeats(spark, sf):
     return suffixes.remove_repeats(read(spark, sf, "documents"))
 
 
+@query
+def op11_codes(spark, sf):
+    """Four bytes per vector, and the digest of the codebooks they refer to."""
+    coded, books = codes.compress(read(spark, sf, "embeddings"))
+    return codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(books.digest() if books else None).alias("codebooks_sha256"))
+
+
+@query
+def op12_neighbours(spark, sf):
+    """The nearest rows of every twentieth id."""
+    return neighbours.nearest(read(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op13_middles(spark, sf):
     """Digests of the fill-in-middle texts and of what is rebuilt from them."""

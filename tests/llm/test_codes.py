@@ -1,0 +1,128 @@
+"""Vector codes against DuckDB and against plain Python with all distances."""
+
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone.llm import codes
+from siltstone.llm.oracle import ORACLE
+from siltstone.llm.queries import QUERIES
+from testbed.check import connect
+
+SF = "/root/testdata/sf0.001"
+
+
+def python_version(rows, entries, rounds, scale=1024):
+    """{(vec_id, vector): (code, error)} and the codebooks of (vec_id, vector, label) rows."""
+    kept = [(i, tuple(int(np.floor(scale * x)) for x in v)) for i, v, _ in rows
+            if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    w = len(kept[0][1]) // 4
+    start = {}
+    for i, x in kept:
+        start[i] = min(start.get(i, x), x)
+    ids = sorted(start, key=lambda i: (i is None, i or 0))[:entries]
+    books = [[start[i][p * w:(p + 1) * w] for i in ids] for p in range(4)]
+
+    def near(p, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), e) for e, c in enumerate(books[p]))
+
+    for _ in range(rounds):
+        for p in range(4):
+            by = {}
+            for _, x in kept:
+                part = x[p * w:(p + 1) * w]
+                by.setdefault(near(p, part)[1], []).append(part)
+            for e, members in by.items():
+                books[p][e] = tuple(sum(c) // len(members) for c in zip(*members))
+    out = []
+    for i, x in kept:
+        best = [near(p, x[p * w:(p + 1) * w]) for p in range(4)]
+        out.append((i, "".join(f"{e:02x}" for _, e in best), sum(d for d, _ in best)))
+    flat = ",".join(str(c) for book in books for entry in book for c in entry)
+    return sorted(out, key=str), hashlib.sha256(flat.encode()).hexdigest()
+
+
+def test_query_equals_sql(spark):
+    relation = connect(SF).sql(ORACLE["op11_codes"])
+    got = QUERIES["op11_codes"](spark, SF).select(*relation.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(relation.fetchall())
+
+
+@pytest.mark.parametrize("entries,rounds", [(5, 0), (5, 3), (16, 6), (200, 4)])
+def test_rounds_equal_all_distances(spark, entries, rounds, monkeypatch):
+    # Few kept entries and small chunks, so that bounds, measured ranks and full scans all occur.
+    monkeypatch.setattr(codes, "KEPT", 4)
+    monkeypatch.setattr(codes, "CHUNK", 300)
+    rng = np.random.default_rng(entries)
+    base = rng.normal(0, 0.02, (180, 8))
+    base[::3] = base[0]  # a third of all rows are equal
+    base[1::7] = np.round(base[1::7] * 50) / 50  # ties
+    rows = [(int(i), [float(x) for x in v], int(i) % 3) for i, v in zip(rng.permutation(180), base)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    coded, books = codes.compress(df, entries=entries, rounds=rounds)
+    want, digest = python_version(rows, entries, rounds)
+    assert sorted(map(tuple, coded.select("vec_id", "code", "error").collect()), key=str) == want
+    assert books.digest() == digest
+
+
+def test_edge_cases(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [
+        (9, [0.5, -0.5, 1.0, 2.0], 1), (2, None, 1), (3, [1.0, None, 0.0, 0.0], 1), (4, [nan, 0.0, 0.0, 0.0], 2),
+        (5, [0.0, -inf, 0.0, 0.0], None), (6, [0.25, 0.0, -0.0, 1e-9], None), (6, [0.25, 0.0, -0.0, 1e-9], None),
+        (6, [-3.0, 2.0, 0.0, 0.0], 7), (None, [4.0, 4.0, 4.0, 4.0], None), (8, [-1e-9, 0.0, 0.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").select(
+        "*", F.lit("z").alias("code"), F.lit(1).alias("x"), F.lit(2).alias("near"))
+    for entries in (2, 256):
+        coded, books = codes.compress(df, entries=entries)
+        want, digest = python_version(rows, entries, 4)
+        assert sorted(map(tuple, coded.select("vec_id", "code", "error").collect()), key=str) == want
+        assert books.digest() == digest and len(want) == 6
+        told = codes.with_label_error(coded).collect()
+        assert len(told) == 6
+        for r in told:
+            assert r.label_error == sum(x.error for x in told if x.label == r.label)
+    none, books = codes.compress(df.limit(0))
+    assert none.count() == 0 and books is None
+    assert codes.with_label_error(none).collect() == []
+
+
+def test_what_is_refused(spark):
+    def run(*vectors):
+        codes.compress(spark.createDataFrame(
+            [(i, v, 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int"))
+
+    with pytest.raises(ValueError, match="multiple of 4"):
+        run([1.0, 2.0])
+    with pytest.raises(Exception, match="unequal length"):
+        run([1.0] * 4, [1.0] * 8)
+    with pytest.raises(Exception, match="exceeds"):
+        run([1e9] * 4)
+
+
+def test_bounds_spare_work():
+    # Entries that move little: nearly all rows stay by bounds alone, and none is wrong.
+    rng = np.random.default_rng(3)
+    x = rng.integers(-500, 500, (3000, 6))
+    entries = rng.integers(-500, 500, (64, 6))
+    near, bounds, best = codes._measured(x, entries, 12)
+    upper = codes._up(np.sqrt(best.astype(float)))
+    for step in (2, 40, 0, 300):
+        new = entries + rng.integers(-step, step + 1, entries.shape)
+        moved = np.sqrt(((new - entries) ** 2).sum(1)) * (1 + codes.SAFE)
+        near, bounds, upper, need = codes._assign(x, new, moved, near, bounds, upper, 12)
+        d = codes.squares(x, new)
+        assert (near[:, 0] == d.argmin(1)).all()
+        true = np.sqrt(d.astype(float))
+        assert (upper >= true[np.arange(len(x)), near[:, 0]] - 1e-9).all()
+        behind = np.take_along_axis(true, near, 1)
+        for j in range(12):
+            assert (bounds[:, j] <= behind[:, j + 1:].min(1, initial=np.inf) + 1e-9).all()
+        rest = true.copy()
+        np.put_along_axis(rest, near, np.inf, 1)
+        assert (bounds[:, -1] <= rest.min(1) + 1e-9).all()
+        entries = new
+        if step in (0, 2):
+            assert (need == 0).mean() > 0.8

@@ -27,7 +27,7 @@ def ids(df):
 
 def test_every_operator_is_registered():
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in driver.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in driver.queries()
     assert set(names) == set(QUERIES)
 
 
