@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,24 +32,29 @@ def upsert(
 
 
 def merge_into(
-    base: DataFrame,
-    updates: DataFrame,
-    keys: str | Sequence[str],
-    order_by: str | Sequence[str | Column],
+    base: DataFrame, updates: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]
 ) -> DataFrame:
     """:func:`upsert` for a base that already has one row per key.
 
-    Only base rows whose key is among the updates are ranked; the rest passes
-    through an anti-join, which needs no shuffle of the base while the updates'
-    keys are small enough for Spark to broadcast them.
+    The base is read once and not ranked: each of its rows meets at most one
+    update. A stored base that is large beside the updates belongs in
+    :mod:`siltstone.sources.buckets`, whose merge reads only what they touch.
     """
-    keys = as_list(keys)
-    arriving = updates.select(*keys)
-    touched = join_on(base, arriving, keys, "left_semi")
-    untouched = join_on(base, arriving, keys, "left_anti")
-    return untouched.unionByName(
-        upsert(touched, updates, keys, order_by), allowMissingColumns=True
-    )
+    keys, order_by = as_list(keys), as_list(order_by)
+    latest = latest_per_key(updates, keys, [c for c in order_by if c in updates.columns] or keys)
+    old = base.select(*[F.col(c).alias(f"_old_{c}") for c in base.columns], F.lit(True).alias("_in_base"))
+    new = latest.select(*[F.col(c).alias(f"_new_{c}") for c in latest.columns], F.lit(True).alias("_in_updates"))
+    same = reduce(Column.__and__, [F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+
+    def side(name: str, df: DataFrame, prefix: str) -> Column:
+        return F.col(f"{prefix}{name}") if name in df.columns else F.lit(None)
+
+    # Nulls are least among the fields of a struct, as they come last in a descending order.
+    later = F.struct(*[side(c, latest, "_new_") for c in order_by]) >= F.struct(*[side(c, base, "_old_") for c in order_by])
+    wins = F.col("_in_updates").isNotNull() & (F.col("_in_base").isNull() | later)
+    columns = [*base.columns, *[c for c in latest.columns if c not in base.columns]]
+    return old.join(new, same, "full_outer").select(*[
+        F.when(wins, side(c, latest, "_new_")).otherwise(side(c, base, "_old_")).alias(c) for c in columns])
 
 
 def first_available_max(

@@ -1,32 +1,38 @@
 """Whole runs: ingest a landing folder, then build the layers on it.
 
-Loaded tables are upsert logs (``<table>/batch=<run>``): a run appends what is
-new and never rewrites what is stored. What is fresh and where the watermarks
-stand follows from other runs only, so running it again for the same time, also
-after half a run, reads the same rows and replaces its own batch by them. A run
-that was capped, or has no manifest row yet, doesn't count as loaded for an
-uncapped one. :func:`current` resolves a log to one row per key.
+Loaded tables are logs of batches (:mod:`siltstone.sources.logs`): a run appends
+what is new and rewrites nothing but a level that is full, so a read meets a
+bounded number of copies of a row. Beside them stand two small logs. ``state``
+says when a repository was loaded last, ``ranges`` which stretches of its rows
+were; a run asks these and never scans what was loaded. A capped run leaves a
+range with rows before it, which a later run takes up from there, and does not
+make a repository fresh for an uncapped run.
+
+What a run reads follows from other runs only, so running it again for the same
+time, also after half a run, reads the same rows and replaces its own batch by
+them. Once its batch has been merged into a level it cannot be replaced; the
+run then adds what is new since.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone import rules
 from siltstone.operators import incremental as inc
+from siltstone.operators import ranges
 from siltstone.operators.common import ts_lit
 from siltstone.operators.windows import latest_per_key
 from siltstone.plans import activity, funding, mapping, proposals, segments
-from siltstone.sources import landing, tables
+from siltstone.sources import landing, logs, tables
 from siltstone.sources.landing import REPOSITORY
-from siltstone.streaming.jobs import BATCH, read_upserts
+from siltstone.sources.logs import BATCH, RUN
 
-# Code-host resources: their repository column, watermark column, cap, and
+# Code-host resources: their repository column, the column of their loaded ranges, cap, and
 # whether fresh repositories are skipped.
 RESOURCES = {
     "repositories": ("full_name", None, None, True),
@@ -37,51 +43,58 @@ RESOURCES = {
 
 
 def _batch(now: datetime) -> int:
-    return int(now.strftime("%Y%m%d%H%M%S"))
+    """Microseconds since 1970: runs of different times have different batches."""
+    at = now if now.tzinfo else now.replace(tzinfo=timezone.utc)
+    return int((at - datetime(1970, 1, 1, tzinfo=timezone.utc)).total_seconds() * 1_000_000 + 0.5)
 
 
-def _load(rows: DataFrame, path: str, now: datetime, order_by: Sequence[str]) -> DataFrame:
-    """Write one run's latest row per id to its batch; returns what was stored."""
-    return tables.full_load(
-        latest_per_key(rows, "id", order_by), f"{path}/{BATCH}={_batch(now)}"
-    )
+def _newest_state(rows: DataFrame) -> DataFrame:
+    return logs.newest(["pipeline_state_id", "environment"], ["last_updated"])(rows)
+
+
+def _closed_ranges(rows: DataFrame) -> DataFrame:
+    return ranges.merged(rows, REPOSITORY)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """All batches of a log, or None before its first load."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def _load(rows: DataFrame, path: str, now: datetime, order_by: Sequence[str], run: str = "") -> DataFrame:
+    """Append one run's latest row per id; returns what was stored."""
+    return logs.append(rows, path, logs.newest("id", order_by), _batch(now), run)
 
 
 def _record(manifest: DataFrame, root: str, name: str, now: datetime) -> None:
     """The manifest row of a run; a repeated run replaces its own."""
-    tables.full_load(manifest, f"{root}/manifest/table={name}/{BATCH}={_batch(now)}")
-
-
-def _loaded_before(
-    spark: SparkSession, root: str, name: str, now: datetime, cap: str | None, environment: str
-) -> DataFrame | None:
-    """The log without this run's batch and, for an uncapped run, without capped and unfinished ones."""
-    stored = _stored(spark, f"{root}/raw/{name}")
-    if stored is None:
-        return None
-    stored = stored.filter(F.col(BATCH) != _batch(now))
-    if cap is None or landing.limits(environment)[cap] is not None:
-        return stored
-    finished = _stored(spark, f"{root}/manifest")
-    if finished is None:
-        return None
-    whole = [e for e in rules.LIMITS if landing.limits(e)[cap] is None]
-    runs = finished.filter((F.col("table") == name) & F.col("env").isin(whole)).select(BATCH).distinct()
-    return stored.join(runs, BATCH, "left_semi")
+    manifest.write.mode("overwrite").parquet(f"{root}/manifest/table={name}/{BATCH}={_batch(now)}")
+
+
+def _without(spark: SparkSession, path: str, now: datetime, run: str, **tags: object) -> DataFrame | None:
+    """The rows of a log but for this run's own batch, of the parts with these tags."""
+    return logs.stored(spark, path, lambda part: not logs.is_batch(part, _batch(now), run) and all(
+        part.tags["more"].get(k) == v for k, v in tags.items()))
+
+
+def _due(
+    spark: SparkSession, root: str, name: str, now: datetime, cap: str | None, environment: str,
+    repositories: Sequence[str], days: float, run: str,
+) -> list[str]:
+    """The repositories that no other run has loaded within ``days``.
+
+    For an uncapped run only uncapped ones count, as a capped one may have left rows.
+    """
+    known = _without(spark, f"{root}/state", now, run, table=name)
+    if known is not None and cap is not None and landing.limits(environment)[cap] is None:
+        whole = [e for e in rules.LIMITS if landing.limits(e)[cap] is None]
+        known = known.filter(F.col("environment").isin(whole))
+    if known is None:
+        return list(repositories)
+    wanted = spark.createDataFrame([(r,) for r in repositories], "repo string")
+    fresh = inc.freshness(known, "repository_name", ["last_updated"], now, days).withColumnRenamed("repository_name", "repo")
+    # At most the repositories asked for.
+    return [r["repo"] for r in inc.stale_keys(wanted, fresh, "repo").collect()]
 
 
 def current(spark: SparkSession, path: str, order_by: Sequence[str]) -> DataFrame:
-    return read_upserts(spark, path, "id", order_by)
+    """The newest row per id of a loaded table."""
+    return logs.read_log(spark, path, logs.newest("id", order_by))
 
 
 def ingest_governance(
@@ -130,37 +143,33 @@ def ingest_code_host(
         "releases": landing.read_releases,
         "issues": landing.read_issues,
     }
-    wanted = spark.createDataFrame([(r,) for r in repositories], "repo string")
     stored = {}
     for name, (key, ts, cap, gated) in RESOURCES.items():
-        path = f"{root}/raw/{name}"
-        before = _loaded_before(spark, root, name, now, cap, environment)
-        options: dict[str, object] = {}
-        if before is None or force or not gated:
-            due = list(repositories)
-        else:
-            fresh = inc.freshness(
-                before, key, ["fetched_at", "updated_at"], now, days
-            ).withColumnRenamed(key, "repo")
-            # At most the repositories asked for.
-            due = [r["repo"] for r in inc.stale_keys(wanted, fresh, "repo").collect()]
-            if ts:
-                options["marks"] = inc.watermark(before, key, ts)
-        if cap:
-            options["max_per_repo"] = caps[cap]
+        path, marks, run = f"{root}/raw/{name}", f"{root}/ranges/{name}", name
+        # A batch that a level has swallowed stays; the run adds to it under another name.
+        logged = [(path, run), (marks, run), (f"{root}/state", run)]
+        if any(logs.merged_already(logs.parts_of(spark, where), _batch(now), r) for where, r in logged):
+            run = f"{name}, again"
+        due = list(repositories)
+        if gated and not force:
+            due = _due(spark, root, name, now, cap, environment, repositories, days, run)
+        options: dict[str, object] = {"max_per_repo": caps[cap]} if cap else {}
+        if ts and not force:
+            options["loaded"] = _without(spark, marks, now, run)
         rows = read[name](spark, source, now, repos=due, **options)
-        stored[name] = _load(rows, path, now, ["updated_at", "fetched_at"])
+        stored[name] = _load(rows, path, now, ["updated_at", "fetched_at"], run)
+        if ts:
+            done = ranges.covered(stored[name], REPOSITORY, ts, "id", caps[cap] is not None)
+            logs.append(done, marks, _closed_ranges, _batch(now), run)
         state = inc.state_rows(stored[name], name, now, key, environment)
-        tables.full_load(state, f"{root}/state/table={name}/{BATCH}={_batch(now)}")
+        logs.append(state, f"{root}/state", _newest_state, _batch(now), run, {"table": name})
         _record(inc.run_manifest(stored[name], "code_host", name, now, environment), root, name, now)
     return stored
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
     """The newest state row per table and repository."""
-    return latest_per_key(
-        spark.read.parquet(f"{root}/state"), "pipeline_state_id", "last_updated"
-    ).drop("table", BATCH)
+    return latest_per_key(logs.read_log(spark, f"{root}/state", _newest_state), "pipeline_state_id", "last_updated")
 
 
 def build_governance(

@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.operators.common import as_time
 from siltstone.operators.incremental import since
+from siltstone.operators.ranges import outside
 from siltstone.operators.windows import cap_per_key
 from siltstone.rules import LIMITS
 from siltstone.sources import schemas
@@ -132,11 +134,15 @@ def read_repositories(
 
 
 def _activity(
-    df: DataFrame, now: datetime, marks: DataFrame | None, ts: str, n: int | None
+    df: DataFrame, now: datetime, marks: DataFrame | None, ts: str, n: int | None, loaded: DataFrame | None = None
 ) -> DataFrame:
     if marks is not None:
         df = since(df, marks, REPOSITORY, ts)
-    return stamp(cap_per_key(df, REPOSITORY, n, ts), now)
+    if loaded is not None:
+        df = outside(df, loaded, REPOSITORY, ts, "id")
+    # By the parsed time and the id, as loaded ranges have it.
+    capped = cap_per_key(df.withColumn("_at", as_time(df, ts)), REPOSITORY, n, ["_at", "id"]).drop("_at")
+    return stamp(capped, now)
 
 
 def read_pull_requests(
@@ -147,12 +153,13 @@ def read_pull_requests(
     state: str = "all",
     max_per_repo: int | None = None,
     marks: DataFrame | None = None,
+    loaded: DataFrame | None = None,
 ) -> DataFrame:
-    """Pull requests, newest update first under a cap, newer than ``marks`` if given."""
+    """Pull requests, newest update first under a cap, newer than ``marks`` or in no range of ``loaded`` if given."""
     df = _read_per_repository(spark, f"{landing}/pull_requests", schemas.PULL_REQUESTS, repos)
     if state != "all":
         df = df.filter(F.col("state") == state)
-    return _activity(df, now, marks, "updated_at", max_per_repo)
+    return _activity(df, now, marks, "updated_at", max_per_repo, loaded)
 
 
 def read_releases(
@@ -163,10 +170,11 @@ def read_releases(
     max_per_repo: int | None = None,
     marks: DataFrame | None = None,
     ts: str = "published_at",
+    loaded: DataFrame | None = None,
 ) -> DataFrame:
-    """Releases; ``ts`` orders the cap and must be the column of ``marks``."""
+    """Releases; ``ts`` orders the cap and must be the column of ``marks`` or ``loaded``."""
     df = _read_per_repository(spark, f"{landing}/releases", schemas.RELEASES, repos)
-    return _activity(df, now, marks, ts, max_per_repo)
+    return _activity(df, now, marks, ts, max_per_repo, loaded)
 
 
 def read_issues(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.sources import versions
 from siltstone.sources.schemas import SEED_REPO_MAP, SEED_REPOSITORIES
 
 
@@ -19,9 +20,10 @@ def write_layer(
     materialized: str = "table",
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Store a model as Parquet under ``root/layer/name``, or as the view ``layer_name``.
+    """Store a model as a table under ``root/layer/name``, or as the view ``layer_name``.
 
     Returns the stored form, so later models read the table and not its plan.
+    :func:`read_table` reads it again.
     """
     if materialized == "view":
         df.createOrReplaceTempView(f"{layer}_{name}")
@@ -32,13 +34,13 @@ def write_layer(
 
 
 def full_load(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace the table at ``path`` by ``df``."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Replace the table at ``path`` by ``df``, all at once: until then, and if it fails, the old one stands."""
+    return versions.replace(df, path, partition_by)
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path`` as of its last complete load."""
+    return versions.read(spark, path)
 
 
 def write_all(df: DataFrame, paths: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:

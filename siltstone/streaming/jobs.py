@@ -16,10 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.functions.temporal import month_of, utc_instant, utc_wall_time
 from siltstone.operators.common import as_list
-from siltstone.operators.windows import latest_per_key
-
-BATCH = "batch"
-RUN = "run"
+from siltstone.sources import logs
+from siltstone.sources.logs import BATCH, RUN
 
 
 def _run_of(checkpoint: str) -> str:
@@ -54,15 +52,13 @@ def upsert_stream(
     log: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Write each micro-batch's latest row per key to ``log/run=<checkpoint>/batch=<id>``.
+    """Append each micro-batch's latest row per key to a log of batches, with the checkpoint as its run.
 
-    A replayed batch overwrites its own folder, so the result is the same after
-    a failure. The log only grows by what arrived; nothing stored is rewritten.
+    A replayed batch replaces its own part, so the result is the same after a
+    failure. Levels of the log that are full are merged on the way.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest_per_key(batch, keys, order_by).write.mode("overwrite").parquet(
-            f"{log}/{RUN}={run}/{BATCH}={batch_id}"
-        )
+        logs.append(batch, log, logs.newest(keys, order_by), batch_id, run)
 
     run = _run_of(checkpoint)
     return (
@@ -77,21 +73,20 @@ def read_upserts(
     spark: SparkSession, log: str, keys: str | Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
     """The current row per key of an upsert log; on equal order the later batch wins."""
-    rows = spark.read.parquet(log)
-    later = [F.desc(c) for c in (BATCH, RUN) if c in rows.columns]
-    return latest_per_key(rows, keys, [*order_by, *later]).drop(BATCH, RUN)
+    return logs.read_log(spark, log, logs.newest(keys, order_by))
 
 
 def compact_upserts(
-    spark: SparkSession, log: str, to: str, keys: str | Sequence[str], order_by: Sequence[str]
+    spark: SparkSession, log: str, keys: str | Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
-    """Write the current rows of a log as the first batch of a new log at ``to``.
+    """Merge a whole log into one part, in place. Readers of the version before still find it."""
+    logs.merge_all(spark, log, logs.newest(keys, order_by))
+    return read_upserts(spark, log, keys, order_by)
 
-    The old log stays as it is; readers and writers move when this is done.
-    """
-    path = f"{to}/{RUN}=compacted/{BATCH}=-1"
-    read_upserts(spark, log, keys, order_by).write.mode("overwrite").parquet(path)
-    return read_upserts(spark, to, keys, order_by)
+
+def _summed(names: Sequence[str]) -> logs.Resolve:
+    """Counts per key, day and run of several batches."""
+    return lambda rows: rows.groupBy(*names, "day", RUN).agg(F.sum("n").alias("n"), F.max(BATCH).alias(BATCH))
 
 
 def daily_counts_stream(
@@ -101,20 +96,19 @@ def daily_counts_stream(
     log: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Events per key and day of each micro-batch, to ``log/run=<checkpoint>/batch=<id>``.
+    """Events per key and day of each micro-batch, to a log of batches, with the checkpoint as its run.
 
     Nothing is kept between batches, so a row counts however late it comes;
-    :func:`monthly_from_daily` adds the batches up. A replayed batch overwrites
-    its own folder.
+    :func:`monthly_from_daily` adds the batches up. A replayed batch replaces
+    its own part, or is left out if that has been merged into a level.
     """
     rows = events.select(key, utc_instant(ts).alias("_at"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.groupBy(key, F.window("_at", "1 day").alias("_day")).agg(
+        counts = batch.groupBy(key, F.window("_at", "1 day").alias("_day")).agg(
             F.count(F.lit(1)).alias("n")
-        ).select(key, utc_wall_time("_day.start").alias("day"), "n").write.mode("overwrite").parquet(
-            f"{log}/{RUN}={run}/{BATCH}={batch_id}"
-        )
+        ).select(key, utc_wall_time("_day.start").alias("day"), "n")
+        logs.append(counts, log, _summed([key]), batch_id, run, once=True)
 
     run = _run_of(checkpoint)
     return (
@@ -126,16 +120,28 @@ def daily_counts_stream(
 
 
 def monthly_from_daily(
-    spark: SparkSession, log: str, key: str, month: str = "month", count: str = "event_count"
+    spark: SparkSession, log: str, key: str, month: str = "month", count: str = "event_count",
+    runs: str | None = None,
 ) -> DataFrame:
     """Monthly counts from the log of :func:`daily_counts_stream`: its batches, summed.
 
-    A run with a new checkpoint reads its source from the start, so of several
-    runs the one that has counted most of a key's day holds.
+    A log with several runs (checkpoints) needs to be told what they are:
+    ``runs="add"`` if they read different sources, so that counts add up, or
+    ``runs="repeat"`` if each reads the same source from the start, so that the one
+    that has counted most of a key's day holds.
     """
     names = as_list(key)
-    daily = spark.read.parquet(log).groupBy(*names, "day", RUN).agg(F.sum("n").alias("n"))
-    daily = daily.groupBy(*names, "day").agg(F.max("n").alias("n"))
+    if runs not in (None, "add", "repeat"):
+        raise ValueError('runs is "add" or "repeat"')
+    several = {r for p in logs.parts_of(spark, log) for r in p.tags["runs"]}
+    if runs is None and len(several) > 1:
+        raise ValueError(f'{log} has {len(several)} runs: say whether they "add" to or "repeat" one another')
+    daily = logs.stored(spark, log)
+    if daily is None:
+        raise FileNotFoundError(f"{log} holds no batch")
+    daily = daily.groupBy(*names, "day", RUN).agg(F.sum("n").alias("n"))
+    if runs == "repeat":
+        daily = daily.groupBy(*names, "day").agg(F.max("n").alias("n"))
     return daily.groupBy(*names, month_of("day").alias(month)).agg(
         F.sum("n").alias(count)
     )

@@ -163,7 +163,7 @@ LATEST_LINES = f"""select * exclude (n) from (
         partition by l_orderkey, l_linenumber order by {LINE_ORDER}) as n
     from lineitem
 ) where n = 1"""
-for _name in ("latest_per_key", "upsert_latest", "merge_into_latest"):
+for _name in ("latest_per_key", "upsert_latest", "merge_into_latest", "bucketed_merge"):
     ORACLE[_name] = LATEST_LINES
 
 ORACLE["previous_event"] = """select event_id, event_type, ts,
@@ -647,6 +647,8 @@ ORACLE["stream_upsert"] = """select * exclude (n) from (
     select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events
 ) where n = 1"""
 
+ORACLE["merged_levels"] = ORACLE["stream_upsert"]
+ORACLE["loaded_ranges"] = "select event_id, event_type, 1::bigint as loads from events"
 ORACLE["stream_daily_to_monthly"] = """select event_type,
     cast(date_trunc('month', ts) as timestamp) as month, count(*) as event_count
 from events group by 1, 2"""

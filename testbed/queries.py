@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone import rules
 from siltstone.functions import (
@@ -14,13 +16,13 @@ from siltstone.functions import (
     nested_contains, repo_name, repo_owner,
 )
 from siltstone.operators import incremental as inc
-from siltstone.operators import quality, reports, windows
+from siltstone.operators import quality, ranges, reports, windows
 from siltstone.operators.common import ts_lit
 from siltstone.operators.skew import exact_quantile
 from siltstone.plans import activity, funding, mapping, segments
 from siltstone.plans import proposals as plans
 from siltstone.session import workspace
-from siltstone.sources import landing, schemas, tables
+from siltstone.sources import buckets, landing, logs, schemas, tables
 from siltstone.streaming import jobs
 from testbed import roles
 from testbed.roles import NOW, table
@@ -28,6 +30,10 @@ from testbed.roles import NOW, table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Schema of loaded ranges, without their key.
+PLACE = T.StructType([T.StructField("at", T.TimestampNTZType()), T.StructField("tie", T.LongType())])
+RANGE = T.StructType([T.StructField("low", PLACE), T.StructField("high", PLACE)])
+
 # Small enough that the split paths run at test size too.
 COARSE = 200.0
 
@@ -461,13 +467,53 @@ def merge_into_latest(spark, sf):
     return inc.merge_into(windows.latest_per_key(old, keys, "l_shipdate"), new, keys, "l_shipdate")
 
 
+@query
+def bucketed_merge(spark, sf):
+    """A stored base, merged with two loads of updates that touch some of its buckets."""
+    old, new = _lines_by_date(spark, sf)
+    root = workspace(spark, "buckets")
+    buckets.create(old, f"{root}/lines", ["l_orderkey", "l_linenumber"], "l_shipdate", buckets=16)
+    late = F.col("l_shipdate") >= ts_lit(datetime(1998, 6, 1))
+    for part in (new.filter(~late), new.filter(late)):
+        buckets.merge(spark, f"{root}/lines", part)
+    return tables.read_table(spark, f"{root}/lines")
+
+
+@query
+def merged_levels(spark, sf):
+    """The latest event per user out of ten batches, of which levels have been merged on the way."""
+    root, order = workspace(spark, "levels"), ["ts", "event_id"]
+    events = table(spark, sf, "events")
+    resolve = logs.newest("user_id", order)
+    for batch in range(10):
+        logs.append(events.filter(F.col("event_id") % 10 == batch), f"{root}/log", resolve, batch, "load")
+    return logs.read_log(spark, f"{root}/log", resolve)
+
+
+@query
+def loaded_ranges(spark, sf):
+    """How often each event was loaded by two capped loads and a whole one, the last of which met new events."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    root, key = workspace(spark, "ranges"), "event_type"
+    early = F.col("ts") < ts_lit(datetime(2024, 1, 20))
+    done = spark.createDataFrame([], T.StructType([events.schema[key], *RANGE.fields]))
+    # The caps and the arrivals are the feature: together the loads take all rows.
+    for n, (cap, arrived) in enumerate([(1000, events.filter(early)), (2500, events.filter(early)), (None, events)]):
+        rows = windows.cap_per_key(ranges.outside(arrived, done, key, "ts", "event_id"), key, cap, ["ts", "event_id"])
+        loaded = tables.full_load(rows, f"{root}/load{n}")
+        both = done.unionByName(ranges.covered(loaded, key, "ts", "event_id", cap is not None))
+        done = tables.full_load(ranges.merged(both, key), f"{root}/done{n}")
+    every = reduce(DataFrame.unionByName, [tables.read_table(spark, f"{root}/load{n}") for n in range(3)])
+    return every.groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("loads"))
+
+
 @query
 def full_load_counts(spark, sf):
     """A full load to two targets, read back from the second."""
     root = workspace(spark, "layers")
     tables.write_all(table(spark, sf, "events"), [f"{root}/local/events", f"{root}/lake/events"])
     stored = tables.write_layer(
-        tables.read_merged(spark, f"{root}/lake/events"), root, "bronze", "events"
+        tables.read_table(spark, f"{root}/lake/events"), root, "bronze", "events"
     )
     view = tables.write_layer(stored, root, "silver", "events", "view")
     return view.groupBy("event_type").agg(

@@ -111,19 +111,23 @@ def test_run_manifest(spark):
     }
 
 
-def test_merge_into_broadcasts_small_updates_and_keeps_the_base_in_place(spark, tmp_path):
-    path = str(tmp_path / "base")
+def test_merge_into_reads_its_base_once_and_ranks_only_updates(spark, tmp_path):
+    path, news = str(tmp_path / "base"), str(tmp_path / "updates")
     spark.range(1000).selectExpr("id", "'2024-01-01' as at", "'x' as note").write.parquet(path)
-    base = spark.read.parquet(path)
-    updates = rows(spark, (5, "2024-01-02", "new")).withColumn("id", F.col("id").cast("long"))
-    small = str(tmp_path / "updates")
-    updates.write.parquet(small)
-    merged = inc.merge_into(base, spark.read.parquet(small), "id", "at")
-    assert merged.count() == 1000
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    untouched = plan[:plan.index("LeftSemi")]
-    assert "BroadcastHashJoin" in untouched and "LeftAnti" in untouched
-    assert "SortMergeJoin" not in plan
+    rows(spark, (5, "2024-01-02", "new"), (5, "2024-01-03", "newer")).withColumn("id", F.col("id").cast("long")).write.parquet(news)
+    merged = inc.merge_into(spark.read.parquet(path), spark.read.parquet(news), "id", "at")
+    assert merged.count() == 1000 and merged.filter("id = 5").first()["note"] == "newer"
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2 and plan.count("Window [") == 1
+
+
+def test_merge_into_equals_upsert_for_any_order_column(spark, values):
+    base = spark.createDataFrame([(1, None, 2.0, "a"), (2, "x", None, "b"), (3, "x", float("nan"), "c"), (4, "x", 1.0, "d"),
+                                  (None, "x", 1.0, "e")], "id int, at string, n double, note string")
+    new = spark.createDataFrame([(1, None, None, "A"), (1, None, 2.0, "AA"), (2, "x", 0.0, "B"), (3, "x", 1e9, "C"), (4, "w", 9.0, "D"),
+                                 (None, None, 1.0, "E"), (7, None, None, "G")], "id int, at string, n double, note string")
+    for order in (["at", "n"], "n", ["n", "at"]):
+        assert str(values(inc.merge_into(base, new, "id", order))) == str(values(inc.upsert(base, new, "id", order)))
 
 
 def test_merge_of_null_keys(spark, values):

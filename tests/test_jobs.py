@@ -7,6 +7,7 @@ import pytest
 
 from siltstone.operators.incremental import freshness
 from siltstone.plans import jobs
+from siltstone.sources import logs
 
 FIRST, SECOND = datetime(2024, 1, 20), datetime(2024, 1, 31)
 REPOS = ["org/app", "org/lib"]
@@ -137,7 +138,7 @@ def test_a_retry_after_half_a_run(spark, tmp_path, values, source, monkeypatch):
             jobs.ingest_code_host(spark, str(source), root, FIRST, REPOS)
     jobs.ingest_code_host(spark, str(source), root, FIRST, REPOS)
     for name, n in (("repositories", 2), ("pull_requests", 4), ("releases", 2), ("issues", 2)):
-        assert spark.read.parquet(f"{root}/raw/{name}").count() == n
+        assert logs.stored(spark, f"{root}/raw/{name}").count() == n
 
 
 def test_capped_runs_lose_nothing(spark, tmp_path, source):
@@ -155,3 +156,56 @@ def test_capped_runs_lose_nothing(spark, tmp_path, source):
         jobs.ingest_governance(spark, str(source), root, now, environment)
     assert jobs.current(spark, f"{root}/raw/releases", order).count() == 17
     assert jobs.current(spark, f"{root}/raw/proposals", ["ingested_at"]).count() == 7
+
+
+def only(monkeypatch, name):
+    """Let runs load one resource."""
+    monkeypatch.setattr(jobs, "RESOURCES", {name: jobs.RESOURCES[name]})
+
+
+def test_any_order_of_runs_loads_every_row_once(spark, tmp_path, values, source, monkeypatch):
+    only(monkeypatch, "releases")
+    # 40 releases at few instants, so that caps cut through ties.
+    land(source, "releases", [
+        {"id": 100 + i, "tag_name": f"t{i}", "published_at": f"2024-01-{1 + i // 8:02d}T00:00:00Z"} for i in range(40)
+    ], "org/app", part="many")
+    root, loaded = str(tmp_path / "lake"), []
+    environments = ["sample", "sample", "dev", "prod", "sample", "prod"]
+    for day, environment in enumerate(environments):
+        now = datetime(2024, 1, 20 + 10 * (day // 3), day)
+        if day == 4:
+            land(source, "releases", [{"id": 500, "tag_name": "new", "published_at": "2024-01-29T00:00:00Z"}], "org/app", part="new")
+        found = jobs.ingest_code_host(spark, str(source), root, now, REPOS, environment=environment, days=0)
+        loaded.append([r["id"] for r in found["releases"].filter("repository_full_name = 'org/app'").collect()])
+    flat = [i for ids in loaded for i in ids]
+    assert sorted(flat) == sorted([49, 500, *range(100, 140)])
+    assert [len(ids) for ids in loaded[:2]] == [10, 10]
+
+
+def test_twenty_runs_keep_few_copies(spark, tmp_path, values, source):
+    root = str(tmp_path / "lake")
+    for run in range(20):
+        now = datetime(2024, 1, 20, run)
+        land(source, "proposals", [{"page": 1, "links": {}, "data": [
+            {"id": 1, "title": f"title {run}", "fund_id": 1}, {"id": 100 + run, "title": "one run only", "fund_id": 1}]}])
+        jobs.ingest_governance(spark, str(source), root, now)
+    path = f"{root}/raw/proposals"
+    assert len(logs.parts_of(spark, path)) == 2  # 20 = 1 * 16 + 1 * 4
+    assert logs.stored(spark, path).filter("id = 1").count() == 2
+    now = jobs.current(spark, path, ["ingested_at"])
+    assert now.count() == 21 and now.filter("id = 1").first()["title"] == "title 19"
+    # What is no longer part of a kept version is gone.
+    assert sum(1 for d in (tmp_path / "lake" / "raw" / "proposals").iterdir() if d.name.startswith("data-")) <= 10
+
+
+def test_a_merged_batch_is_added_to_and_loses_nothing(spark, tmp_path, values, source, monkeypatch):
+    only(monkeypatch, "pull_requests")
+    root = str(tmp_path / "lake")
+    for day in range(4):
+        jobs.ingest_code_host(spark, str(source), root, datetime(2024, 1, 20, day), REPOS, days=0)
+    land(source, "pull_requests", [pull(9, 30)], "org/app", part="2")
+    for _ in range(2):  # the first of them once more, and again
+        jobs.ingest_code_host(spark, str(source), root, datetime(2024, 1, 20, 0), REPOS, days=0)
+    pulls = jobs.current(spark, f"{root}/raw/pull_requests", ["updated_at", "fetched_at"])
+    assert [r[0] for r in values(pulls, "id")] == [1, 2, 3, 4, 9]
+    assert jobs.read_state(spark, root).count() == 2
