@@ -5,15 +5,16 @@ each labelled with the number of its occurrence, so repeats count. A sketch
 takes the ``TAKEN`` k-mers of least hash and hashes them in the order in which
 they stand in the text: texts that hold the same parts in another order get
 another sketch, which follows edit similarity more closely than a set does.
-Texts with one of ``SKETCHES`` sketches in common are candidates. So are texts
-that share one of the least k-mers of ``PARTS`` ranges, as scattered edits leave
-few k-mers in common, and short texts that share any run of three words.
+Texts with one of ``SKETCHES`` sketches in common are candidates. Of a text of
+few words an edit leaves few k-mers, so up to ``SHORT`` words all runs of
+three words are added, which an edit similarity of 0.8 cannot all break.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,17 +26,21 @@ from siltstone.llm.common import mixed, rows_of, save, signed
 from siltstone.llm.graph import components
 
 K = 5
-TAKEN = 6
-SKETCHES = 40
+TAKEN = 2
+SKETCHES = 64
 SIMILARITY = 0.8
-# Ranges of hashes whose least k-mer is a key of its own.
-PARTS = 24
 # Up to SHORT words all runs of three words are keys, up to PAIR_WORDS those of two: with a
 # fifth of the words edited one of them is left whole.
 SHORT = 40
 PAIR_WORDS = 8
 # Size of the bitmap of a text's words: sharp up to some thousand words, right for any.
 BAG_BITS = 4096
+# A folded bitmap of this many 64-bit columns is compared first.
+FOLDED = 16
+# Words are ranked by how often their slot of this many occurs, which the driver holds: 2 MB at most.
+SLOT_BITS = 18
+# Copies of a group's first row, so that a large group is named in as many tasks.
+SALTS = 16
 
 _WORD = re.compile(r"\w+")
 
@@ -73,31 +78,29 @@ def sketches(h: np.ndarray, k: int = K, taken: int = TAKEN, count: int = SKETCHE
     grams = _labelled(h, k)
     take = min(taken, len(grams))
     salts = mixed(np.arange(1, count + 1, dtype=np.uint64))
+    # Well-mixed numbers times an odd one: an order of its own for each sketch.
+    odd = salts | np.uint64(1)
     out = []
     step = max(1, (1 << 20) // len(grams))
     for begin in range(0, count, step):
-        salt = salts[begin:begin + step]
-        x = grams[None, :] ^ salt[:, None]
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0x94D049BB133111EB)
-        if take < len(grams):
-            places = np.sort(np.argpartition(x, take - 1, axis=1)[:, :take], axis=1)
-        else:
-            places = np.broadcast_to(np.arange(take), (len(salt), take))
-        value = salt
+        x = ((grams[None, :] * odd[begin:begin + step, None]) >> np.uint64(32)).astype(np.uint32)
+        rows = np.arange(len(x))
+        places = np.empty((len(x), take), np.int64)
+        for t in range(take):
+            places[:, t] = x.argmin(axis=1)
+            if t + 1 < take:
+                x[rows, places[:, t]] = 0xFFFFFFFF
+        places.sort(axis=1)
+        value = salts[begin:begin + step]
         for t in range(take):
             value = mixed(value * np.uint64(31) + grams[places[:, t]])
         out.append(value)
     return np.concatenate(out)
 
 
-def run_keys(h: np.ndarray, k: int = K) -> np.ndarray:
-    """Single k-mers as keys: the least one of each range, of a short text all shorter ones too."""
-    v = mixed(_labelled(h, k) + np.uint64(k))
-    least = np.full(PARTS, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    np.minimum.at(least, (v % np.uint64(PARTS)).astype(np.int64), v)
-    keys = [least[least != np.uint64(0xFFFFFFFFFFFFFFFF)]]
+def run_keys(h: np.ndarray) -> np.ndarray:
+    """All short runs of words of a short text as keys."""
+    keys = [np.zeros(0, np.uint64)]
     for run, most in ((3, SHORT), (2, PAIR_WORDS)):
         if run <= len(h) <= most:
             keys.append(mixed(_labelled(h, run) + np.uint64(run)))
@@ -114,7 +117,7 @@ def _sketch_rows(k: int, taken: int, count: int):
                     known.clear()
                 h = _word_hashes(words_of(text), known)
                 n.append(len(h))
-                bands.append(signed(np.concatenate([sketches(h, k, taken, count), run_keys(h, k)])) if len(h) else None)
+                bands.append(signed(np.concatenate([sketches(h, k, taken, count), run_keys(h)])) if len(h) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("th"), batch.column("text").is_null(),
                  pa.array(n, pa.int32()), pa.array(bands, pa.list_(pa.int64()))],
@@ -259,17 +262,60 @@ def bag_bits(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def folded(bag: np.ndarray) -> np.ndarray:
+    """The bitmap in ``FOLDED`` words, parts laid over one another: a bit that only one text has is still a word of it."""
+    return np.bitwise_or.reduce(bag.reshape(-1, FOLDED), axis=0)
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many labelled words fall into each slot, per task."""
     known: dict[str, int] = {}
+    total = np.zeros(1 << SLOT_BITS, np.int64)
     for batch in batches:
-        bags = []
         for text in batch.column("text").to_pylist():
             if len(known) > 1 << 18:
                 known.clear()
-            bags.append(signed(bag_bits(_word_hashes(words_of(text), known))))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("th"), batch.column("bands"), pa.array(bags, pa.list_(pa.int64()))],
-            names=["th", "bands", "bag"])
+            words = _labelled(_word_hashes(words_of(text), known), 1)
+            np.add.at(total, (words >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["slot", "n"])
+
+
+def prefix(words: np.ndarray, often: np.ndarray, least: float) -> np.ndarray:
+    """The labelled words of one text that it must share one of with any similar text.
+
+    Of a text of n words at most (1 - least) n have no partner in a similar one.
+    So of that many and one more, the rarest by ``often``, at least one has; both
+    texts rank alike, so they share one of these. Words that occur once are left out.
+    """
+    take = int(np.floor((1 - least) * len(words) + 1e-9)) + 1
+    n = often[(words >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+    first = np.lexsort((words, n))[:take]
+    return words[first[n[first] > 1]]
+
+
+PREFIXES = "th long, root long, n int, prefix array<long>, bag array<long>, " + ", ".join(f"b{i} long" for i in range(FOLDED))
+
+
+def _prefixes(often: np.ndarray, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        for batch in batches:
+            prefixes, bags, small = [], [], np.zeros((len(batch), FOLDED), np.uint64)
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                if len(known) > 1 << 18:
+                    known.clear()
+                h = _word_hashes(words_of(text), known)
+                prefixes.append(signed(prefix(_labelled(h, 1), often, least)))
+                bag = bag_bits(h)
+                bags.append(signed(bag))
+                small[i] = folded(bag)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("th"), batch.column("root"), batch.column("n"), pa.array(prefixes, pa.list_(pa.int64())),
+                 pa.array(bags, pa.list_(pa.int64())), *[pa.array(signed(np.ascontiguousarray(c))) for c in small.T]],
+                names=["th", "root", "n", "prefix", "bag", *[f"b{i}" for i in range(FOLDED)]])
+
+    return run
 
 
 def _alone(x: str, y: str) -> Column:
@@ -278,6 +324,12 @@ def _alone(x: str, y: str) -> Column:
     return F.aggregate(each, F.lit(0), lambda total, bits: total + bits)
 
 
+def _alone_folded(x: str, y: str) -> Column:
+    """The same of the folded bitmaps, as a plain sum."""
+    return reduce(Column.__add__, [
+        F.bit_count(F.col(f"{x}{i}").bitwiseAND(F.bitwise_not(F.col(f"{y}{i}")))) for i in range(FOLDED)])
+
+
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """The pairs whose ends are in different groups."""
     x = groups.select(F.col("node").alias("a"), F.col("root").alias("x"))
@@ -287,12 +339,12 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """The members of buckets that still hold more than one group, with the root of their group."""
+    """(th, root, n) of the members of buckets that still hold more than one group."""
     told = members.join(groups, members["th"] == groups["node"], "left").select(
         "band", "th", "n", F.coalesce("root", "th").alias("root"))
     told = save(told, "members")
     several = told.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return save(told.join(several.select("band"), "band"), "members")
+    return save(told.join(several.select("band"), "band").groupBy("th").agg(F.max("root").alias("root"), F.max("n").alias("n")), "open")
 
 
 def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
@@ -316,10 +368,11 @@ def near_duplicates(
 
     Candidates share a sketch or a key of ``run_keys``. A class is verified against the least one that it
     meets in any bucket, then, if still apart from them, against the least ones
-    of its other buckets; at last classes of one bucket that are still in
-    different groups are verified against each other, but for pairs whose words
-    alone show that they are too far apart. So no link within a bucket is lost,
-    and a group of true copies costs about one comparison per member.
+    of its other buckets. What shares a bucket with another group even then meets
+    by its rarest words (:func:`prefix`), which no similar pair lacks, and is
+    verified unless the words alone show that the texts are too far apart. So no
+    link within a bucket is lost, a group of true copies costs about one
+    comparison per member, and texts that only share a passage hardly meet.
     """
     texts = rows_of(docs, id_col, text_col)
     rows = save(texts.mapInArrow(
@@ -329,10 +382,14 @@ def near_duplicates(
     links = _links(texts, rows, classes, count, least)
     groups = components(links)
     named = classes.drop("n").join(groups, classes["th"] == groups["node"], "left").select(
-        "th", "id", F.coalesce("root", "th").alias("root"))
+        "th", "id", "root", F.pmod("th", F.lit(SALTS)).alias("salt"))
     named = save(named, "classes")
-    first = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "th")).alias("f"))
-    named = named.join(first, "root").select("th", F.col("f.id").alias("class_id"), F.col("f.th").alias("stays"))
+    first = named.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "th")).alias("f"))
+    # A large group is named in several tasks; classes of their own meet nothing.
+    first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    linked = named.filter("root is not null").join(first, ["root", "salt"])
+    linked = linked.select("th", F.col("f.id").alias("class_id"), F.col("f.th").alias("stays"))
+    named = linked.unionByName(named.filter("root is null").select("th", F.col("id").alias("class_id"), F.col("th").alias("stays")))
     same = rows.groupBy("doc_id", "th", "none").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("n_same"))
     told = same.join(named, "th", "left").select(
         "doc_id", "th", "none", "n_same", F.col("n").cast("long").alias("n_words"),
@@ -355,7 +412,8 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, count: int, le
     members = save(bands.join(buckets, "band").distinct(), "members")
     lone = members.select("th").distinct().join(classes, "th")
     shown = texts.join(lone, (texts["th"] == lone["th"]) & texts["doc_id"].eqNullSafe(lone["id"]))
-    shown = save(shown.select(lone["th"], "text"), "candidates")
+    # Repeated rows are one text.
+    shown = save(shown.select(lone["th"], "text").dropDuplicates(["th"]), "candidates")
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = shown.select(F.col("th").alias("a"), F.col("text").alias("text_a"))
@@ -371,19 +429,21 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, count: int, le
     links = verified(save(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs"))
     links = save(links.unionByName(verified(save(_apart(stars, components(links)), "pairs"))), "links")
     rest = _open(members, components(links))
-    # Before a pair is made, words without a partner bound its distance from below;
-    # of the buckets that two texts share, the least one makes the pair.
-    bags = shown.join(rest.groupBy("th").agg(F.collect_set("band").alias("bands")), "th")
-    bags = save(bags.mapInArrow(_bags, "th long, bands array<long>, bag array<long>").dropDuplicates(["th"]), "bags")
-    rest = save(rest.join(bags, "th"), "members")
-    left = rest.withColumnRenamed("th", "a")
-    other = rest.select(
-        "band", F.col("th").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"),
-        F.col("bands").alias("bands_b"), F.col("bag").alias("bag_b"))
+    texts_left = save(shown.join(rest, "th"), "open-texts")
+    counts = texts_left.select("text").mapInArrow(_slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    often = np.zeros(1 << SLOT_BITS, np.int64)
+    for r in counts.collect():  # one row per slot
+        often[r.slot] = r.n
+    told = save(texts_left.mapInArrow(_prefixes(often, least), PREFIXES), "prefixes")
+    left = told.withColumn("word", F.explode("prefix"))
+    right = left.select(
+        "word", F.col("th").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("prefix").alias("prefix_b"),
+        F.col("bag").alias("bag_b"), *[F.col(f"b{i}").alias(f"c{i}") for i in range(FOLDED)])
     most = F.floor(F.greatest("n", "m") * (1 - least) + 1e-6)
-    near = fits & (F.col("root") < F.col("other"))
+    near = (F.col("root") < F.col("other")) & fits & (_alone_folded("b", "c") <= most) & (_alone_folded("c", "b") <= most)
     near = near & (_alone("bag", "bag_b") <= most) & (_alone("bag_b", "bag") <= most)
-    near = near & (F.array_min(F.array_intersect("bands", "bands_b")) == F.col("band"))
-    more = left.join(other, "band").filter(near).select("a", "b")
+    # Of the words that two texts share, the least one makes the pair.
+    near = near & (F.array_min(F.array_intersect("prefix", "prefix_b")) == F.col("word"))
+    more = left.join(right, "word").filter(near).select(F.col("th").alias("a"), "b")
     more = save(_untried(more, stars), "pairs")
     return links.unionByName(verified(more))

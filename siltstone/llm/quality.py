@@ -19,7 +19,8 @@ REPEAT_PERCENT = 50
 # Line rules. A line ends like a sentence, perhaps with a closing mark behind.
 ENDS = r"[.!?:;…。][\"')\]”’»]*[\x20\x09-\x0D]*$"
 MAX_SYMBOL_PERCENT = 10
-NAVIGATION = r"([|>»·•/][^|>»·•/]*){3,}$"
+SEPARATORS = "|>»·•/"
+NAVIGATION_MARKS = 3
 NAVIGATION_WORDS = 12
 BOILERPLATE = (
     r"(?i)(all rights reserved|copyright|licensed under|public license|terms of (use|service)|privacy policy"
@@ -75,6 +76,11 @@ def _low(bits: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), bits) - F.lit(1).cast("long")
 
 
+def _marks(line: Column) -> Column:
+    """Separators in a line, counted without a pattern: one that repeats a group needs stack for every repetition."""
+    return F.length(line) - F.length(F.translate(line, SEPARATORS, ""))
+
+
 def line_fails(line: Column) -> Column:
     """Whether a line that holds a word breaks a rule."""
     solid = _without(line, SPACES)
@@ -83,7 +89,7 @@ def line_fails(line: Column) -> Column:
     return (
         ~line.rlike(ENDS)
         | (F.length(symbols) * 100 > F.length(solid) * MAX_SYMBOL_PERCENT)
-        | ((n_words <= NAVIGATION_WORDS) & line.rlike(NAVIGATION))
+        | ((n_words <= NAVIGATION_WORDS) & (_marks(line) >= NAVIGATION_MARKS))
         | line.rlike(BOILERPLATE)
     )
 

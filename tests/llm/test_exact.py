@@ -104,3 +104,62 @@ def test_chats_read_back_and_validate(spark):
     assert {k: r.valid for k, r in got.items()} == {1: True, 2: False, 3: False, None: False, 4: False, 5: False}
     assert [(t.role, t.text) for t in got[4].back] == [("u<s>\\", "t")] and len(got[5].back) == 2
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_many_separators_in_a_fresh_session():
+    # Patterns that recurse end a session whose code is not compiled yet, so it takes a process of its own.
+    code = """
+from siltstone.session import build_session
+from siltstone.llm import quality
+spark = build_session("marks", "local[1]", spark__ui__enabled="false", spark__sql__shuffle__partitions="1")
+rows = [(1, "a/" * 200_000 + "end."), (2, "a / b / c."), (3, "a / b / c / d."), (4, ("x. " * 30_000)), (5, " " * 200_000 + "."), (6, ".\\"" * 100_000 + "x")]
+told = quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+print("LINES", sorted((r.doc_id, r.n_lines_kept) for r in told))
+"""
+    import os
+    import subprocess
+    import sys
+
+    import siltstone
+
+    root = os.path.dirname(os.path.dirname(siltstone.__file__))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert "LINES [(1, 0), (2, 1), (3, 0), (4, 1), (5, 1), (6, 0)]" in done.stdout, done.stderr[-2000:]
+
+
+def plain_verdict(text):
+    """n_lines, n_lines_kept, kept: the rules of the operator, line by line."""
+    import re
+
+    spaces = " \t\n\v\f\r"
+    strip = lambda x: "".join(c for c in x if c not in spaces)
+    split = lambda x: re.findall(r"[^\x20\x09-\x0D]+", x)
+    text = text or ""
+    lines = [x for x in text.split("\n") if split(x)]
+
+    def good(line):
+        n, solid = len(split(line)), strip(line)
+        end = line.rstrip(spaces).rstrip("\"')]”’»")
+        return (
+            bool(end) and end[-1] in ".!?:;…。"
+            and 100 * sum(c in "#*$%&|<>" for c in solid) <= 10 * len(solid)
+            and not (n <= 12 and sum(c in "|>»·•/" for c in line) >= 3)
+            and not re.search(quality.BOILERPLATE, line))
+
+    kept = [x for x in lines if good(x)]
+    w = split(text)
+    from collections import Counter
+
+    seen = Counter(tuple(w[k:k + 3]) for k in range(len(w) - 2))
+    covered = {p for k in range(len(w) - 2) if seen[tuple(w[k:k + 3])] > 1 for p in (k, k + 1, k + 2)}
+    failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+    return len(lines), len(kept), not failed and 100 * len(strip("\n".join(kept))) >= 50 * len(strip(text))
+
+
+def test_verdict_against_python(documents, edges, spark, pairs):
+    odd = [(i, x) for i, x in enumerate([
+        "Home | News | About | Login", "a/b/c/d.", "He said \"so.\"  ", "x" * 30 + ".", "## ** $$ fine.", "Click HERE now.",
+        "one two three.\n" * 40, "\n".join(f"line {i} ends here." if i % 2 else f"line {i} does not" for i in range(40))])]
+    for docs in (documents, edges, spark.createDataFrame(odd, "doc_id long, text string")):
+        got = sorted(((r.doc_id, r.n_lines, r.n_lines_kept, r.kept) for r in quality.quality(docs).collect()), key=str)
+        assert got == sorted(((i, *plain_verdict(t)) for i, t in pairs(docs)), key=str)
