@@ -37,8 +37,6 @@ PAIR_WORDS = 8
 BAG_BITS = 4096
 # A folded bitmap of this many 64-bit columns is compared first.
 FOLDED = 16
-# Words are ranked by how often their slot of this many occurs, which the driver holds: 2 MB at most.
-SLOT_BITS = 18
 # Copies of a group's first row, so that a large group is named in as many tasks.
 SALTS = 16
 
@@ -267,55 +265,23 @@ def folded(bag: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(bag.reshape(-1, FOLDED), axis=0)
 
 
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many labelled words fall into each slot, per task."""
+BAGS = "th long, bands array<long>, bag array<long>, " + ", ".join(f"b{i} long" for i in range(FOLDED))
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[str, int] = {}
-    total = np.zeros(1 << SLOT_BITS, np.int64)
     for batch in batches:
-        for text in batch.column("text").to_pylist():
+        bags, small = [], np.zeros((len(batch), FOLDED), np.uint64)
+        for i, text in enumerate(batch.column("text").to_pylist()):
             if len(known) > 1 << 18:
                 known.clear()
-            words = _labelled(_word_hashes(words_of(text), known), 1)
-            np.add.at(total, (words >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
-    some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["slot", "n"])
-
-
-def prefix(words: np.ndarray, often: np.ndarray, least: float) -> np.ndarray:
-    """The labelled words of one text that it must share one of with any similar text.
-
-    Of a text of n words at most (1 - least) n have no partner in a similar one.
-    So of that many and one more, the rarest by ``often``, at least one has; both
-    texts rank alike, so they share one of these. Words that occur once are left out.
-    """
-    take = int(np.floor((1 - least) * len(words) + 1e-9)) + 1
-    n = often[(words >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
-    first = np.lexsort((words, n))[:take]
-    return words[first[n[first] > 1]]
-
-
-PREFIXES = "th long, root long, n int, prefix array<long>, bag array<long>, " + ", ".join(f"b{i} long" for i in range(FOLDED))
-
-
-def _prefixes(often: np.ndarray, least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
-        for batch in batches:
-            prefixes, bags, small = [], [], np.zeros((len(batch), FOLDED), np.uint64)
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                if len(known) > 1 << 18:
-                    known.clear()
-                h = _word_hashes(words_of(text), known)
-                prefixes.append(signed(prefix(_labelled(h, 1), often, least)))
-                bag = bag_bits(h)
-                bags.append(signed(bag))
-                small[i] = folded(bag)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("th"), batch.column("root"), batch.column("n"), pa.array(prefixes, pa.list_(pa.int64())),
-                 pa.array(bags, pa.list_(pa.int64())), *[pa.array(signed(np.ascontiguousarray(c))) for c in small.T]],
-                names=["th", "root", "n", "prefix", "bag", *[f"b{i}" for i in range(FOLDED)]])
-
-    return run
+            bag = bag_bits(_word_hashes(words_of(text), known))
+            bags.append(signed(bag))
+            small[i] = folded(bag)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("th"), batch.column("bands"), pa.array(bags, pa.list_(pa.int64())),
+             *[pa.array(signed(np.ascontiguousarray(c))) for c in small.T]],
+            names=["th", "bands", "bag", *[f"b{i}" for i in range(FOLDED)]])
 
 
 def _alone(x: str, y: str) -> Column:
@@ -339,12 +305,12 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """(th, root, n) of the members of buckets that still hold more than one group."""
+    """The members of buckets that still hold more than one group, with the root of their group."""
     told = members.join(groups, members["th"] == groups["node"], "left").select(
         "band", "th", "n", F.coalesce("root", "th").alias("root"))
     told = save(told, "members")
     several = told.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return save(told.join(several.select("band"), "band").groupBy("th").agg(F.max("root").alias("root"), F.max("n").alias("n")), "open")
+    return save(told.join(several.select("band"), "band"), "members")
 
 
 def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
@@ -368,11 +334,11 @@ def near_duplicates(
 
     Candidates share a sketch or a key of ``run_keys``. A class is verified against the least one that it
     meets in any bucket, then, if still apart from them, against the least ones
-    of its other buckets. What shares a bucket with another group even then meets
-    by its rarest words (:func:`prefix`), which no similar pair lacks, and is
-    verified unless the words alone show that the texts are too far apart. So no
-    link within a bucket is lost, a group of true copies costs about one
-    comparison per member, and texts that only share a passage hardly meet.
+    of its other buckets; at last classes of one bucket that are still in
+    different groups are verified against each other, but for pairs whose words
+    alone show that they are too far apart, which a bitmap tells before a pair is
+    made. So no link within a bucket is lost, and a group of true copies costs
+    about one comparison per member.
     """
     texts = rows_of(docs, id_col, text_col)
     rows = save(texts.mapInArrow(
@@ -429,21 +395,18 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, count: int, le
     links = verified(save(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs"))
     links = save(links.unionByName(verified(save(_apart(stars, components(links)), "pairs"))), "links")
     rest = _open(members, components(links))
-    texts_left = save(shown.join(rest, "th"), "open-texts")
-    counts = texts_left.select("text").mapInArrow(_slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    often = np.zeros(1 << SLOT_BITS, np.int64)
-    for r in counts.collect():  # one row per slot
-        often[r.slot] = r.n
-    told = save(texts_left.mapInArrow(_prefixes(often, least), PREFIXES), "prefixes")
-    left = told.withColumn("word", F.explode("prefix"))
+    # Before a pair is made, words without a partner bound its distance from below: first a small
+    # bitmap, then the whole one; of the buckets that two texts share, the least one makes the pair.
+    bags = shown.join(rest.groupBy("th").agg(F.collect_set("band").alias("bands")), "th")
+    bags = save(bags.select("th", "text", "bands").mapInArrow(_bags, BAGS), "bags")
+    left = save(rest.join(bags, "th"), "members")
     right = left.select(
-        "word", F.col("th").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("prefix").alias("prefix_b"),
+        "band", F.col("th").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("bands").alias("bands_b"),
         F.col("bag").alias("bag_b"), *[F.col(f"b{i}").alias(f"c{i}") for i in range(FOLDED)])
     most = F.floor(F.greatest("n", "m") * (1 - least) + 1e-6)
     near = (F.col("root") < F.col("other")) & fits & (_alone_folded("b", "c") <= most) & (_alone_folded("c", "b") <= most)
     near = near & (_alone("bag", "bag_b") <= most) & (_alone("bag_b", "bag") <= most)
-    # Of the words that two texts share, the least one makes the pair.
-    near = near & (F.array_min(F.array_intersect("prefix", "prefix_b")) == F.col("word"))
-    more = left.join(right, "word").filter(near).select(F.col("th").alias("a"), "b")
+    near = near & (F.array_min(F.array_intersect("bands", "bands_b")) == F.col("band"))
+    more = left.join(right, "band").filter(near).select(F.col("th").alias("a"), "b")
     more = save(_untried(more, stars), "pairs")
     return links.unionByName(verified(more))

@@ -154,36 +154,6 @@ def test_words_without_a_partner_bound_the_distance():
             assert alone == 0 or not near.distance_within(a, b, alone - 1)
 
 
-def test_similar_texts_share_a_prefix_word():
-    rng = np.random.default_rng(10)
-    words = np.minimum(rng.zipf(1.3, (400, 60)), 300)
-    often = np.zeros(1 << near.SLOT_BITS, np.int64)
-    texts = []
-    for row in words:
-        a = row[:rng.integers(1, 60)].tolist()
-        b = list(a)
-        for _ in range(int(0.2 * len(a))):
-            k = int(rng.integers(0, len(b) + 1))
-            kind = rng.integers(0, 3)
-            if kind == 0:
-                b.insert(k, int(rng.integers(1, 300)))
-            elif b and kind == 1:
-                b.pop(min(k, len(b) - 1))
-            elif b:
-                b[min(k, len(b) - 1)] = int(rng.integers(1, 300))
-        texts.append([near.mixed(np.array(t, np.uint64)) for t in (a, b)])
-    for pair in texts:
-        for h in pair:
-            np.add.at(often, (near._labelled(h, 1) >> np.uint64(64 - near.SLOT_BITS)).astype(np.int64), 1)
-    tried = 0
-    for a, b in texts:
-        if len(b) and near.similar(a, b):
-            x, y = (near.prefix(near._labelled(h, 1), often, 0.8) for h in (a, b))
-            assert np.intersect1d(x, y).size
-            tried += 1
-    assert tried > 300
-
-
 def test_texts_that_fail_against_the_first_meet_each_other(spark):
     # One passage in all; two of the texts are near copies, and no text is near the other ones.
     passage = " ".join(f"p{i}" for i in range(300))
