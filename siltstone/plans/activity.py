@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siltstone import rules
 from siltstone.functions import label_ladder, lowered_text, month_of
 from siltstone.operators.common import as_time, join_on
-from siltstone.operators.keys import only_keys, pick_keys, pinned_or_top
+from siltstone.operators.keys import only_keys, pinned_or_top
 from siltstone.operators.skew import exact_quantile
 from siltstone.operators.windows import gap_counts, latest_per_key
 from siltstone.sources.landing import flatten_struct
@@ -138,18 +138,20 @@ def median_gap_vs_top(
 ) -> DataFrame:
     """Median days between consecutive events, for the pinned and the busiest keys.
 
-    A first job counts the keys; the second reads only the selected ones, by a
-    filter that reaches the scan.
+    Events are counted by key and instant once; the busiest keys are found in
+    these counts and joined back to them, so nothing runs before the result is asked for.
     A key whose only second event is undated appears with a null median.
     """
-    picked = pick_keys(events, key, n, pinned)
-    selected = events.select(key, ts).filter(F.col(key).isin([r[key] for r in picked]))
+    marks = events.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_events"))
+    groups = pinned_or_top(marks, key, n, pinned, weight="_events").select(key).distinct()
+    selected = only_keys(marks, groups, key)
     medians = exact_quantile(
-        gap_counts(selected, key, ts, "_gap", grain), key, "_gap", 0.5, out, "gaps", grain
+        gap_counts(selected, key, ts, "_gap", grain, weight="_events"), key, "_gap", 0.5, out, "gaps", grain
     )
     # Two events of which one is dated make a gap.
+    dated = F.when(F.col(ts).isNotNull(), F.col("_events")).otherwise(0)
     with_gaps = selected.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_all"), F.count(ts).alias("_dated")
+        F.sum("_events").alias("_all"), F.sum(dated).alias("_dated")
     ).filter("_all > 1 and _dated > 0")
     result = join_on(with_gaps.select(key), medians, [key], "left")
     if digits is not None:

@@ -26,8 +26,10 @@ from siltstone import rules
 from siltstone.operators import incremental as inc
 from siltstone.operators import ranges
 from siltstone.operators.common import ts_lit
+from siltstone.operators.quality import Suite, checked_write, report_of
 from siltstone.operators.windows import latest_per_key
 from siltstone.plans import activity, funding, mapping, proposals, segments
+from siltstone.plans.checks import SUITES
 from siltstone.sources import landing, logs, tables
 from siltstone.sources.landing import REPOSITORY
 from siltstone.sources.logs import BATCH, RUN
@@ -172,13 +174,22 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
     return latest_per_key(logs.read_log(spark, f"{root}/state", _newest_state), "pipeline_state_id", "last_updated")
 
 
+def _writer(root: str, told: list[tuple[str, int]]) -> Callable[[str, str, DataFrame], DataFrame]:
+    """Writes models; those with declared checks add what failed to ``told``."""
+    def write(layer: str, name: str, df: DataFrame) -> DataFrame:
+        stored, found = checked_write(df, name, SUITES.get(name, Suite()), lambda rows: tables.write_layer(rows, root, layer, name))
+        told.extend(found)
+        return stored
+
+    return write
+
+
 def build_governance(
     spark: SparkSession, root: str, now: datetime, seed: DataFrame
 ) -> dict[str, DataFrame]:
-    """Staged, enriched and report models of the funding programme."""
-    def write(layer: str, name: str, df: DataFrame) -> DataFrame:
-        return tables.write_layer(df, root, layer, name)
-
+    """Staged, enriched and report models of the funding programme, and the report of their checks."""
+    told: list[tuple[str, int]] = []
+    write = _writer(root, told)
     raw = {name: current(spark, f"{root}/raw/{name}", ["ingested_at"]) for name in ("funds", "proposals")}
     funds = write("bronze", "stg_funds", proposals.stage_funds(raw["funds"], now))
     staged = write("bronze", "stg_proposals", proposals.stage_proposals(raw["proposals"]))
@@ -200,16 +211,16 @@ def build_governance(
         "delivery_panel": write(
             "gold", "delivery_panel", mapping.delivery_panel(staged, repo_map, repositories)
         ),
+        "quality_report": tables.write_layer(report_of(spark, told), root, "checks", "governance"),
     }
 
 
 def build_activity(
     spark: SparkSession, root: str, pinned: str = rules.PINNED_REPOSITORY, n: int = rules.TOP_N
 ) -> dict[str, DataFrame]:
-    """Staged pull requests and releases, monthly counts and median gaps."""
-    def write(layer: str, name: str, df: DataFrame) -> DataFrame:
-        return tables.write_layer(df, root, layer, name)
-
+    """Staged pull requests and releases, monthly counts and median gaps, and the report of their checks."""
+    told: list[tuple[str, int]] = []
+    write = _writer(root, told)
     order = ["updated_at", "fetched_at"]
     pulls = write("silver", "stg_pull_requests", activity.stage_pull_requests(
         current(spark, f"{root}/raw/pull_requests", order)
@@ -231,4 +242,5 @@ def build_activity(
             f"{name}_median_gap": activity.median_gap_vs_top(rows, "repository", ts, pinned, n),
         }
         built.update({m: write("gold", m, df) for m, df in models.items()})
+    built["quality_report"] = tables.write_layer(report_of(spark, told), root, "checks", "activity")
     return built

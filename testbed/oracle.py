@@ -643,6 +643,37 @@ union all select 'funding_status', status, count(*), cast(sum(amount) as bigint)
 
 # --- streams -----------------------------------------------------------------
 
+ORACLE["suite_report"] = """with checks as (
+    select 'customer.c_name not_null' as check_name, (select count(*) from customer where c_name is null) as failing
+    union all select 'customer.c_acctbal not_null', (select count(*) from customer where c_acctbal is null)
+    union all select 'customer.c_custkey unique', (select count(*) from (
+        select c_custkey from customer where c_custkey is not null group by 1 having count(*) > 1))
+    union all select 'customer columns', 1
+    union all select 'lineitem.l_shipdate not_null', (select count(*) from lineitem where l_shipdate is null)
+    union all select 'lineitem.l_returnflag accepted', (select count(*) from lineitem where l_returnflag not in ('A', 'N'))
+    union all select 'lineitem.l_linestatus accepted', (select count(*) from lineitem where l_linestatus not in ('O', 'F'))
+    union all select 'lineitem.l_orderkey+l_linenumber unique', (select count(*) from (
+        select l_orderkey from lineitem where l_orderkey is not null and l_linenumber is not null
+        group by l_orderkey, l_linenumber having count(*) > 1))
+    union all select 'events.ts not_null', (select count(*) from events where ts is null)
+    union all select 'events.value not_null', (select count(*) from events where value is null)
+    union all select 'events.event_type accepted', (select count(*) from events where event_type not in ('click', 'error'))
+)
+select *, failing = 0 as passed from checks"""
+
+ORACLE["checks_while_writing"] = f"""with {RAW_PULLS},
+checks as (
+    select 'pulls.repository not_null' as check_name, (select count(*) from raw_pulls where repository is null) as failing
+    union all select 'pulls.closed_at not_null', (select count(*) from raw_pulls where closed_at is null)
+    union all select 'pulls.feat_classifier accepted', (select count(*) from raw_pulls
+        where {PULL_CLASS} not in ('feature', 'not clear'))
+    union all select 'pulls.id unique', (select count(*) from (
+        select id from raw_pulls where id is not null group by id having count(*) > 1))
+    union all select 'pulls.repository+title unique', (select count(*) from (
+        select 1 from raw_pulls where repository is not null and title is not null group by repository, title having count(*) > 1))
+)
+select *, failing = 0 as passed from checks"""
+
 ORACLE["stream_upsert"] = """select * exclude (n) from (
     select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events
 ) where n = 1"""

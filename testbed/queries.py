@@ -18,6 +18,7 @@ from siltstone.functions import (
 from siltstone.operators import incremental as inc
 from siltstone.operators import quality, ranges, reports, windows
 from siltstone.operators.common import ts_lit
+from siltstone.operators.quality import Suite
 from siltstone.operators.skew import exact_quantile
 from siltstone.plans import activity, funding, mapping, segments
 from siltstone.plans import proposals as plans
@@ -718,6 +719,27 @@ def quality_report(spark, sf):
     })
 
 
+@query
+def suite_report(spark, sf):
+    """Declared checks of three tables, each scanned once."""
+    return quality.suite_report({
+        "customer": (table(spark, sf, "customer"), Suite(("c_name", "c_acctbal"), (("c_custkey",),), required=("c_custkey", "c_phone"))),
+        "lineitem": (table(spark, sf, "lineitem"), Suite(
+            ("l_shipdate",), (("l_orderkey", "l_linenumber"),), (("l_returnflag", ("A", "N")), ("l_linestatus", ("O", "F"))))),
+        "events": (table(spark, sf, "events"), Suite(("ts", "value"), accepted=(("event_type", ("click", "error")),))),
+    })
+
+
+@query
+def checks_while_writing(spark, sf):
+    """Pull requests staged and stored, with the checks that the write observed."""
+    staged = activity.stage_pull_requests(landing.stamp(roles.raw_pull_requests(spark, sf), NOW))
+    suite = Suite(("repository", "closed_at"), (("id",), ("repository", "title")), (("feat_classifier", ("feature", "not clear")),))
+    root = workspace(spark, "checked")
+    _, told = quality.checked_write(staged, "pulls", suite, lambda rows: tables.full_load(rows, f"{root}/pulls"))
+    return quality.report_of(spark, told)
+
+
 @query
 def null_counts(spark, sf):
     panel = roles.customers_as_projects(spark, sf)

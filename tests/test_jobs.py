@@ -90,6 +90,8 @@ def test_two_runs_and_all_models(spark, tmp_path, values, source):
     assert built["funding_summary"].first()["defi_projects"] == 1
     assert built["landscape"].first()["competition_level"] == "direct_competitor"
     assert built["segmented_projects"].count() == 1
+    checks = {r.check_name: r.failing for r in built["quality_report"].collect()}
+    assert checks["stg_proposals.id unique"] == 0 == checks["stg_funds.id not_null"]
 
     built = jobs.build_activity(spark, root, "org/lib", 1)
     assert values(built["feature_prs_monthly"], "repository", "feature_pr_count") == [
@@ -99,6 +101,7 @@ def test_two_runs_and_all_models(spark, tmp_path, values, source):
         ("org/app", "top_10"), ("org/lib", "lace"),
     ]
     assert values(built["feature_prs_median_gap"]) == [("org/app", 13.5)]
+    assert {r.check_name: r.failing for r in built["quality_report"].collect()}["stg_pull_requests.feat_classifier accepted"] == 0
     assert values(built["releases_monthly"], "repository", "release_count") == [
         ("org/app", 1), ("org/lib", 1),
     ]

@@ -282,3 +282,19 @@ def test_default_rules_are_well_formed():
     for ladder in (rules.PR_TITLE_RULES, rules.WALLET_TYPE_RULES, rules.COMPETITION_RULES):
         assert all(t == t.lower() for _, terms in ladder for t in terms)
     assert {label for label, _ in rules.PR_TITLE_RULES} < set(rules.PR_TITLE_LABELS)
+
+
+def test_median_gaps_run_nothing_before_they_are_asked_for(spark):
+    from datetime import datetime
+
+    from siltstone.plans import activity
+
+    rows = [(f"k{i % 4}" if i % 9 else None, datetime(2024, 1, 1 + i % 20) if i % 7 else None) for i in range(200)]
+    events = spark.createDataFrame(rows, "k string, at timestamp_ntz")
+    spark.sparkContext.setJobGroup("planning", "no job may start")
+    try:
+        result = activity.median_gap_vs_top(events, "k", "at", "k3", n=2)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setJobGroup("after", "")
+    assert {r.k for r in result.collect()} <= {"k0", "k1", "k2", "k3"} and result.count() in (2, 3)

@@ -1,4 +1,5 @@
 from siltstone.operators import quality, reports
+from siltstone.sources import tables
 
 
 def test_checks_return_failing_rows(spark, values):
@@ -20,6 +21,24 @@ def test_checks_return_failing_rows(spark, values):
     assert values(report) == [("id present", 2, False), ("labels listed", 0, True)]
 
 
+def test_suites_in_one_scan_and_while_writing(spark, values, tmp_path):
+    df = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (2, None), (None, "z"), (None, "a"), (3, "a")], "id int, label string")
+    suite = quality.Suite(("id", "label", "gone"), (("id",), ("id", "label"), ("id", "gone")), (("label", ("a", "b")),), ("id", "x"))
+    want = [("t columns", 2, False), ("t.id not_null", 2, False), ("t.id unique", 1, False), ("t.id+label unique", 0, True),
+            ("t.label accepted", 1, False), ("t.label not_null", 1, False)]
+    report = quality.suite_report({"t": (df, suite)})
+    assert values(report) == want
+    stored, told = quality.checked_write(df, "t", suite, lambda rows: tables.full_load(rows, str(tmp_path / "t")))
+    assert values(quality.report_of(spark, told)) == want and stored.count() == 6
+    assert quality.checked_write(df, "t", quality.Suite(), lambda rows: rows)[1] == []
+    empty = values(quality.suite_report({"t": (df.limit(0), suite)}))
+    assert [r[1] for r in empty] == [2, 0, 0, 0, 0, 0]
+    one = quality.suite_report({"t": (df, quality.Suite(("id", "label"), (("id",),), (("label", ("a",)),)))})
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1
+
+
 def test_table_counts(spark, values):
     got = reports.table_counts({"a": spark.range(3), "b": None, "c": spark.range(0)})
     assert values(got) == [("a", 3), ("b", None), ("c", 0)]
