@@ -116,10 +116,10 @@ def gap_counts(
     """Gaps in days between consecutive events of a key, as (key, gap, number of gaps).
 
     A gap that occurs again takes another row. Events at the same instant are counted before the shuffle and give zero
-    gaps. An event without time follows the last dated one with a null gap. With
-    ``weight`` a row stands for that many events.
+    gaps. An event without time follows the last dated one with a null gap.
+    With ``weight`` the rows are unique by (key, ts) and stand for that many events.
     """
-    marks = df.groupBy(key, ts).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
+    marks = df.withColumnRenamed(weight, "_n") if weight else df.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
     dated = F.col(ts).isNotNull()
     found = F.explode(F.array(
         F.struct(

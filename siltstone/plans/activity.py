@@ -138,19 +138,21 @@ def median_gap_vs_top(
 ) -> DataFrame:
     """Median days between consecutive events, for the pinned and the busiest keys.
 
-    Events are counted by key and instant once; the busiest keys are found in
-    these counts and joined back to them, so nothing runs before the result is asked for.
+    The busiest keys are counted in the same plan, so nothing runs before the
+    result is asked for; they are n + 1 rows, by which the events are filtered
+    where they are read.
     A key whose only second event is undated appears with a null median.
     """
-    marks = events.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_events"))
-    groups = pinned_or_top(marks, key, n, pinned, weight="_events").select(key).distinct()
-    selected = only_keys(marks, groups, key)
+    rows = events.select(key, ts)
+    # n + 1 rows at most, whatever the events are.
+    picked = F.broadcast(pinned_or_top(rows, key, n, pinned).select(key).distinct())
+    marks = rows.join(picked, key, "left_semi").groupBy(key, ts).agg(F.count(F.lit(1)).alias("_events"))
     medians = exact_quantile(
-        gap_counts(selected, key, ts, "_gap", grain, weight="_events"), key, "_gap", 0.5, out, "gaps", grain
+        gap_counts(marks, key, ts, "_gap", grain, weight="_events"), key, "_gap", 0.5, out, "gaps", grain
     )
     # Two events of which one is dated make a gap.
     dated = F.when(F.col(ts).isNotNull(), F.col("_events")).otherwise(0)
-    with_gaps = selected.groupBy(key).agg(
+    with_gaps = marks.groupBy(key).agg(
         F.sum("_events").alias("_all"), F.sum(dated).alias("_dated")
     ).filter("_all > 1 and _dated > 0")
     result = join_on(with_gaps.select(key), medians, [key], "left")
