@@ -36,6 +36,8 @@ GRAM = 48
 BLOCK = 8
 # Bytes hashed at a time; longer texts go through in overlapping pieces.
 PIECE = 1 << 20
+# Texts and lists that become Python objects at a time: bytes, and what an item of a list counts for.
+PORTION, ITEM = 1 << 20, 64
 
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -180,10 +182,26 @@ def _numbers(rows: list[dict], *names: str) -> list[np.ndarray]:
     return list(np.array(seen, np.int64).reshape(-1, len(names)).T.copy())
 
 
+def _portions(batches: Iterator[pa.RecordBatch], *lists: str) -> Iterator[pa.RecordBatch]:
+    """The batches cut where ``PORTION`` bytes of text, each list item counted as ``ITEM``, are exceeded.
+
+    What is made of them as Python objects is many times as large.
+    """
+    for batch in batches:
+        size = np.diff(flat(batch.column("text"))[1])
+        for name in lists:
+            size = size + ITEM * batch.column(name).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        # The portion in which each row begins.
+        part = (np.cumsum(size) - size) // PORTION
+        cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+        for begin, end in zip(cuts, [*cuts[1:], len(part)]):
+            yield batch.slice(begin, end - begin)
+
+
 def _settle(length: int):
     """Results of the texts without open runs; blocks of the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches, "runs"):
             rows = []
             for r in batch.to_pylist():
                 raw = (r["text"] or "").encode()
@@ -216,7 +234,7 @@ FIRST_NAMES = FIRST_ARROW.names
 def _spell_out(length: int):
     """One row for each suffix of the open blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches, "open"):
             ids, ths, texts, lists = (batch.column(x).to_pylist() for x in ("doc_id", "th", "text", "open"))
             for doc_id, th, text, found in zip(ids, ths, texts, lists):
                 lo, n = _numbers(found, "lo", "n")
@@ -236,7 +254,7 @@ def _spell_out(length: int):
 
 def _finish(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches, "spans", "found"):
             rows = []
             for r in batch.to_pylist():
                 raw = r["text"].encode()
@@ -275,8 +293,9 @@ def remove_repeats(
     told = split.join(twice, ["head", "rest"], "left").select(
         *settled.columns[:-2], (F.col("sent").isNull() | (F.col("lot") == F.col("sent"))).alias("open"),
         F.col("sent").isNotNull().alias("settled"))
+    # Sets: repeated rows have the same runs, and each of them gets the list.
     lists = settled.unionByName(told).groupBy("doc_id", "th").agg(
-        F.collect_list(F.struct("lo", "n", "at", "head", "open", "settled")).alias("runs"))
+        F.collect_set(F.struct("lo", "n", "at", "head", "open", "settled")).alias("runs"))
     first = rows.join(lists, same_row(rows, lists), "left").select(rows["doc_id"], rows["th"], "text", "runs")
     first = save(first.mapInArrow(_settle(length), FIRST), "suffix-texts")
 
@@ -284,13 +303,13 @@ def remove_repeats(
     cores = _groups(blocks, ["core"], "rest", "suffix-cores")
     alike = save(blocks.select("core", "doc_id", "th", "lo", "n").join(cores, "core"), "suffix-blocks")
     texts = first.filter("text is not null").select("doc_id", "th", "text", "spans")
-    open_ = alike.filter("not whole").groupBy("doc_id", "th").agg(F.collect_list(F.struct("lo", "n")).alias("open"))
+    open_ = alike.filter("not whole").groupBy("doc_id", "th").agg(F.collect_set(F.struct("lo", "n")).alias("open"))
     windows = texts.join(open_, same_row(texts, open_)).select(texts["doc_id"], texts["th"], "text", "open")
     windows = save(windows.mapInArrow(_spell_out(length), WINDOWS), "suffix-windows")
     equal = _groups(windows, ["low", "high"], None, "suffix-equal")
     hits = windows.join(equal, ["low", "high"]).select("doc_id", "th", "lo", F.lit(1).alias("n"))
     found = alike.filter("whole").select("doc_id", "th", "lo", "n").unionByName(hits)
-    found = found.groupBy("doc_id", "th").agg(F.collect_list(F.struct("lo", "n")).alias("found"))
+    found = found.groupBy("doc_id", "th").agg(F.collect_set(F.struct("lo", "n")).alias("found"))
     last = texts.join(found, same_row(texts, found), "left").select(texts["doc_id"], "text", "spans", "found")
     names = ["doc_id", *FIRST_NAMES[2:6]]
     last = last.mapInArrow(_finish(length), ", ".join(x.strip() for x in FIRST.split(", ") if x.split()[0] in names))

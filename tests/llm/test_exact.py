@@ -22,6 +22,29 @@ def test_repeats(documents, edges, empty, pairs, tuples):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_many_repeated_rows_take_linear_work(spark, tuples):
+    import time
+
+    base = "".join(chr(97 + (k * k * 7 + k * 3) % 26) for k in range(3000))
+    rows = [(7, base)] * 800 + [(8, base[500:1500] + "unlike")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    begun = time.time()
+    got = tuples(suffixes.remove_repeats(df), "*")
+    assert time.time() - begun < 60
+    one = brute.repeats([(7, base), (7, base), (8, base[500:1500] + "unlike")])
+    assert got == sorted([next(r for r in one if r[0] == 7)] * 800 + [r for r in one if r[0] == 8], key=str)
+
+
+def test_portions_change_nothing(documents, tuples, monkeypatch):
+    want = tuples(suffixes.remove_repeats(documents), "*")
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": ["ab", None, "c" * 50, "", "d"], "runs": [None, [1, 2], [], [3], None]})
+    monkeypatch.setattr(suffixes, "PORTION", 40)
+    assert [len(p) for p in suffixes._portions(iter([batch]), "runs")] == [2, 1, 1, 1]
+    assert tuples(suffixes.remove_repeats(documents), "*") == want
+
+
 @pytest.mark.parametrize("length,gram", [(20, 6), (16, 8)])
 def test_repeats_in_periodic_text(spark, tuples, length, gram):
     rows = [(1, "ab" * 100), (2, "ab" * 57 + "c"), (3, "a" * 300), (3, "a" * 300), (4, "abc" * 20 + "abd" * 20), (5, "b" + "ab" * 9 + "c")]
