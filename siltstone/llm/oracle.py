@@ -102,3 +102,98 @@ select query_id, (row_number() over (partition by query_id, q order by score des
 from scored
 qualify rank <= 20
 """
+
+ORACLE["op3_decontaminate"] = r"""
+with item_words as (
+    select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark where text is not null
+), starts as (
+    select item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as i from item_words where len(w) > 0
+), windows as (
+    select distinct item_id, least(len(w), 13) as k, array_to_string(list_slice(w, i, i + least(len(w), 13) - 1), ' ') as phrase
+    from starts
+), doc_words as (
+    select row_number() over () as r, doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+    from documents
+), places as (
+    select r, k, w, unnest(range(1, len(w) - k + 2)) as i
+    from doc_words, (select distinct k from windows)
+    where len(w) >= k
+), found as (
+    select r, i, p.k, item_id
+    from (select r, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') as phrase from places) p
+    join windows using (k, phrase)
+), hits as (
+    select r, count(distinct place) as n_hit from (select r, unnest(range(i, i + k)) as place from found) group by r
+), items as (
+    select r, count(*) as n_items, string_agg(item, ',' order by item) as listed
+    from (select distinct r, item_id::varchar as item from found where item_id is not null) group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from doc_words left join hits using (r) left join items using (r)
+"""
+
+ORACLE["op6_quality"] = r"""
+with texts as (
+    select row_number() over () as r, doc_id, coalesce(text, '') as t from documents
+), lists as (
+    select r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+    from texts
+), shingles as (
+    select r, i, array_to_string(list_slice(w, i, i + 2), ' ') as s
+    from (select r, w, unnest(range(1, len(w) - 1)) as i from lists where len(w) >= 3)
+), repeated as (
+    select r, count(distinct place) as n
+    from (select r, unnest(range(i, i + 3)) as place from shingles
+        qualify count(*) over (partition by r, s) > 1)
+    group by r
+), judged as (
+    select r, line,
+        regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g') as solid,
+        len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as n
+    from (select r, unnest(lines) as line from lists)
+), kept_lines as (
+    select r, count(*) as n_lines_kept, sum(length(solid)) as chars_kept
+    from judged
+    where regexp_matches(line, '[.!?:;…。]["'')\]”’»]*[\x20\x09-\x0D]*$')
+        and length(regexp_replace(solid, '[^#*$%&|<>]+', '', 'g')) * 100 <= length(solid) * 10
+        and not (n <= 12 and length(line) - length(regexp_replace(line, '[|>»·•/]', '', 'g')) >= 3)
+        and not regexp_matches(line, '(?i)(all rights reserved|copyright|licensed under|public license|terms of (use|service)|privacy policy|accept cookies|use of cookies|enable javascript|lorem ipsum|click here|sign up for|subscribe to)')
+    group by r
+), counted as (
+    select l.r, doc_id, len(w)::bigint as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols,
+        (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(repeated.n, 0)::bigint as n_repeat_words,
+        len(lines)::bigint as n_lines, coalesce(n_lines_kept, 0)::bigint as n_lines_kept, coalesce(chars_kept, 0)::bigint as chars_kept
+    from lists l left join repeated using (r) left join kept_lines using (r)
+)
+select * exclude (r), n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and chars_kept * 100 >= word_chars * 50 as kept
+from counted
+"""
+
+ORACLE["op9_chats"] = r"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, n, who, '\### Assistant: </turn> ok' from (values (0, 'user'), (1, 'assistant')) v(n, who)
+), numbered as (
+    select *, lag(role, 1, '') over w as before, lead(role) over w as next, row_number() over w as n
+    from turns window w as (partition by conv_id order by turn nulls first, role, text)
+), each as (
+    select *, role || chr(10) || text || chr(10) as said, case when role = 'assistant' then text else '' end as learned,
+        case before when '' then n = 1 and role in ('system', 'user') when 'system' then role = 'user'
+            when 'user' then role = 'assistant' when 'assistant' then role in ('user', 'tool')
+            when 'tool' then role = 'assistant' else false end as fits,
+        length('<turn>' || '<says>' || '</turn>' || chr(10)) + length(replace(replace(role, '\', '\\'), '<', '\l'))
+            + length(replace(replace(text, '\', '\\'), '<', '\l')) as written
+    from numbered
+)
+select conv_id, count(*) as n_turns, sha256(string_agg(said, '' order by n)) as turns_sha256,
+    sum(length(learned))::bigint as loss_chars, sha256(string_agg(learned, '' order by n)) as loss_sha256,
+    sum(written)::bigint as formatted_chars, bool_and(fits) and bool_or(next is null and role = 'assistant') as valid
+from each group by conv_id
+"""
