@@ -674,6 +674,9 @@ checks as (
 )
 select *, failing = 0 as passed from checks"""
 
+ORACLE["sketched_quantiles"] = """select event_type, quartile, count(value) as n, true as within
+from events, (values ('q25'), ('q50'), ('q75')) q(quartile) group by event_type, quartile"""
+
 ORACLE["stream_upsert"] = """select * exclude (n) from (
     select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events
 ) where n = 1"""

@@ -16,7 +16,7 @@ from siltstone.functions import (
     nested_contains, repo_name, repo_owner,
 )
 from siltstone.operators import incremental as inc
-from siltstone.operators import quality, ranges, reports, windows
+from siltstone.operators import quality, ranges, reports, sketches, windows
 from siltstone.operators.common import ts_lit
 from siltstone.operators.quality import Suite
 from siltstone.operators.skew import exact_quantile
@@ -468,6 +468,22 @@ def merge_into_latest(spark, sf):
     return inc.merge_into(windows.latest_per_key(old, keys, "l_shipdate"), new, keys, "l_shipdate")
 
 
+@query
+def sketched_quantiles(spark, sf):
+    """Quartiles of the values per event type out of stored sketches per user and day: are their ranks within the bound?"""
+    events = table(spark, sf, "events").select("event_type", "user_id", "value", F.to_date("ts").alias("day"))
+    stored = tables.full_load(
+        sketches.sketched(events, ["event_type", "user_id", "day"], "value"), f"{workspace(spark, 'sketches')}/daily")
+    told = sketches.merged(stored, "event_type").select(
+        "event_type", sketches.values_in().alias("n"), *[sketches.quantile(q).alias(f"q{int(100 * q)}") for q in (0.25, 0.5, 0.75)])
+    tall = told.unpivot(["event_type", "n"], ["q25", "q50", "q75"], "quartile", "estimate")
+    ranked = events.join(tall, "event_type").groupBy("event_type", "quartile", "n").agg(
+        F.count_if(F.col("value") < F.col("estimate")).alias("below"), F.count_if(F.col("value") <= F.col("estimate")).alias("upto"))
+    want = F.substring("quartile", 2, 2).cast("double") / 100 * F.col("n")
+    off = F.greatest(F.col("below") - want, want - F.col("upto")) / F.col("n")
+    return ranked.select("event_type", "quartile", "n", (off <= sketches.rank_error()).alias("within"))
+
+
 @query
 def bucketed_merge(spark, sf):
     """A stored base, merged with two loads of updates that touch some of its buckets."""

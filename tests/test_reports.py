@@ -1,4 +1,7 @@
-from siltstone.operators import quality, reports
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone.operators import quality, reports, sketches
 from siltstone.sources import tables
 
 
@@ -39,6 +42,25 @@ def test_suites_in_one_scan_and_while_writing(spark, values, tmp_path):
     assert plan.count("LogicalRDD") == 1
 
 
+def test_sketches_merge_within_their_bound(spark):
+    nan = float("nan")
+    df = spark.range(40_000).select(
+        (F.col("id") % 3).alias("k"), (F.col("id") % 50).alias("day"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).when(F.col("id") % 13 == 0, F.lit(nan)).otherwise(F.exp(F.col("id") / 9000.0)).alias("v"))
+    daily = sketches.sketched(df, ["k", "day"], "v")
+    assert daily.count() == 150
+    good = df.filter("v is not null and not isnan(v)")
+    for row in sketches.merged(daily, "k").select("k", sketches.values_in().alias("n"), *[
+            sketches.quantile(q).alias(f"q{i}") for i, q in enumerate((0.0, 0.1, 0.5, 0.99, 1.0))]).collect():
+        mine = sorted(r.v for r in good.filter(F.col("k") == row.k).collect())
+        assert row.n == len(mine) and (row.q0, row.q4) == (mine[0], mine[-1])
+        for value, q in ((row.q1, 0.1), (row.q2, 0.5), (row.q3, 0.99)):
+            assert abs(sum(v <= value for v in mine) / len(mine) - q) <= sketches.rank_error() + 1 / len(mine)
+    assert sketches.sketched(df.filter("v is null"), "k", "v").count() == 0
+    with pytest.raises(ValueError):
+        sketches.quantile(1.5)
+
+
 def test_table_counts(spark, values):
     got = reports.table_counts({"a": spark.range(3), "b": None, "c": spark.range(0)})
     assert values(got) == [("a", 3), ("b", None), ("c", 0)]
