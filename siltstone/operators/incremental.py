@@ -31,6 +31,33 @@ def upsert(
     return latest_per_key(both, keys, [*order_by, F.desc("_is_update")]).drop("_is_update")
 
 
+# 1 for rows that a merge puts into a table, -1 for those it takes out.
+SIGN = "_sign"
+
+
+def _paired(base: DataFrame, latest: DataFrame, keys: Sequence[str], order_by: Sequence[str], how: str) -> tuple[DataFrame, Column]:
+    """Rows of ``latest`` beside the row of ``base`` with their key, and whether they win against it.
+
+    Columns bear the prefixes _new_ and _old_; _in_updates and _in_base tell which sides there are.
+    """
+    old = base.select(*[F.col(c).alias(f"_old_{c}") for c in base.columns], F.lit(True).alias("_in_base"))
+    new = latest.select(*[F.col(c).alias(f"_new_{c}") for c in latest.columns], F.lit(True).alias("_in_updates"))
+    same = reduce(Column.__and__, [F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    # Nulls are least among the fields of a struct, as they come last in a descending order.
+    ours = F.struct(*[_side(c, latest, "_new_") for c in order_by])
+    theirs = F.struct(*[_side(c, base, "_old_") for c in order_by])
+    wins = F.col("_in_updates").isNotNull() & (F.col("_in_base").isNull() | (ours >= theirs))
+    return old.join(new, same, how), wins
+
+
+def _side(name: str, df: DataFrame, prefix: str) -> Column:
+    return F.col(f"{prefix}{name}") if name in df.columns else F.lit(None)
+
+
+def _latest(updates: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    return latest_per_key(updates, keys, [c for c in order_by if c in updates.columns] or keys)
+
+
 def merge_into(
     base: DataFrame, updates: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]
 ) -> DataFrame:
@@ -41,20 +68,29 @@ def merge_into(
     :mod:`siltstone.sources.buckets`, whose merge reads only what they touch.
     """
     keys, order_by = as_list(keys), as_list(order_by)
-    latest = latest_per_key(updates, keys, [c for c in order_by if c in updates.columns] or keys)
-    old = base.select(*[F.col(c).alias(f"_old_{c}") for c in base.columns], F.lit(True).alias("_in_base"))
-    new = latest.select(*[F.col(c).alias(f"_new_{c}") for c in latest.columns], F.lit(True).alias("_in_updates"))
-    same = reduce(Column.__and__, [F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    latest = _latest(updates, keys, order_by)
+    both, wins = _paired(base, latest, keys, order_by, "full_outer")
+    columns = [*base.columns, *[c for c in latest.columns if c not in base.columns]]
+    return both.select(*[
+        F.when(wins, _side(c, latest, "_new_")).otherwise(_side(c, base, "_old_")).alias(c) for c in columns])
 
-    def side(name: str, df: DataFrame, prefix: str) -> Column:
-        return F.col(f"{prefix}{name}") if name in df.columns else F.lit(None)
 
-    # Nulls are least among the fields of a struct, as they come last in a descending order.
-    later = F.struct(*[side(c, latest, "_new_") for c in order_by]) >= F.struct(*[side(c, base, "_old_") for c in order_by])
-    wins = F.col("_in_updates").isNotNull() & (F.col("_in_base").isNull() | later)
-    columns = [*base.columns, *[c for c in latest.columns if c not in base.columns]]
-    return old.join(new, same, "full_outer").select(*[
-        F.when(wins, side(c, latest, "_new_")).otherwise(side(c, base, "_old_")).alias(c) for c in columns])
+def signed_changes(
+    base: DataFrame, updates: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]
+) -> DataFrame:
+    """The rows that :func:`merge_into` takes out of ``base`` (SIGN -1) and puts in (1), in the columns of ``base``.
+
+    An update that loses against the row there gives none. One that equals it gives
+    both, which cancel in any sum.
+    """
+    keys, order_by = as_list(keys), as_list(order_by)
+    latest = _latest(updates, keys, order_by)
+    both, wins = _paired(base, latest, keys, order_by, "right_outer")
+    kinds = {f.name: f.dataType for f in base.schema.fields}
+    put = F.struct(F.lit(1).alias(SIGN), *[_side(c, latest, "_new_").cast(t).alias(c) for c, t in kinds.items()])
+    out = F.struct(F.lit(-1).alias(SIGN), *[F.col(f"_old_{c}").alias(c) for c in kinds])
+    rows = F.array_compact(F.array(put, F.when(F.col("_in_base").isNotNull(), out)))
+    return both.filter(wins).select(F.explode(rows).alias("_row")).select("_row.*")
 
 
 def first_available_max(

@@ -8,6 +8,11 @@ links the slices: rows in the slices before, or the last value there.
 
 A key has at most as many slices as hours in its period, or as magnitudes among
 its numbers. One slice is sorted in one task, by Spark's spilling sort.
+
+Where a key's values are tied, missing or all close to one another, that rule puts
+them into one slice. With ``grain=None`` the operators cut by :func:`even_slices`
+instead: ranges of a sampled total order, which go on cutting among ties by the
+columns that follow. That costs one more shuffle and a written table.
 """
 
 from __future__ import annotations
@@ -18,7 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.operators.common import as_list, join_on
+from siltstone.operators.common import as_list, join_on, orderable
+from siltstone.session import workspace
 
 SLICE = "_slice"
 # Seconds of a slice of times, and slices per factor e of a number.
@@ -51,6 +57,32 @@ def slice_of(df: DataFrame, column: str, grain: float = 1.0) -> Column:
     return value
 
 
+def even_slices(
+    df: DataFrame, order: Sequence[str | Column], rising: bool = True, slices: int | None = None
+) -> DataFrame:
+    """``df`` with slice numbers: ranges of ``order`` that hold about as many rows each.
+
+    A range ends wherever rows are many, within a key, a value or a run of ties,
+    so only rows that are equal in all of ``order`` are sure to share a slice.
+    Numbers rise along the order, or fall. The ranges come from a sample and would
+    differ in a second run, so the dealt rows are written to the work folder.
+    ``slices`` is spark.sql.shuffle.partitions if not given, of which adaptive
+    execution joins small ones.
+    """
+    spark = df.sparkSession
+    dealt = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    number = F.spark_partition_id()
+    dealt = dealt.withColumn(SLICE, number if rising else -number)
+    path = workspace(spark, "slices")
+    dealt.write.parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)
+
+
+def _row_hash(df: DataFrame) -> list[Column]:
+    columns = orderable(df)
+    return [F.xxhash64(*columns)] if columns else []
+
+
 def with_place(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -58,15 +90,19 @@ def with_place(
     ties: Sequence[Column] = (),
     out: str = "place",
     first: int | None = None,
-    grain: float = 1.0,
+    grain: float | None = 1.0,
 ) -> DataFrame:
     """Number the rows of each key from 0, by ``by`` descending (nulls last), then ``ties``.
 
     With ``first`` only that many rows of each key stay; slices behind them are
-    left out before any row is sorted.
+    left out before any row is sorted. With ``grain=None`` rows that tie in ``by``
+    are cut by ``ties`` and at last by their hash.
     """
     keys = as_list(keys)
-    sliced = df.withColumn(SLICE, slice_of(df, by, grain))
+    if grain is None:
+        sliced = even_slices(df, [*keys, F.col(by).desc_nulls_last(), *ties, *_row_hash(df)], rising=False)
+    else:
+        sliced = df.withColumn(SLICE, slice_of(df, by, grain))
     earlier = (
         Window.partitionBy(*keys).orderBy(F.col(SLICE).desc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -87,14 +123,17 @@ def with_place(
 
 
 def previous_value(
-    df: DataFrame, keys: str | Sequence[str], value: str, out: str = "previous", grain: float = 1.0
+    df: DataFrame, keys: str | Sequence[str], value: str, out: str = "previous", grain: float | None = 1.0
 ) -> DataFrame:
     """Add the next lower value of the same key, for rows unique by (keys, value).
 
     A row without value comes after all others.
     """
     keys = as_list(keys)
-    sliced = df.withColumn(SLICE, slice_of(df, value, grain))
+    if grain is None:
+        sliced = even_slices(df, [*keys, F.col(value).asc_nulls_last()])
+    else:
+        sliced = df.withColumn(SLICE, slice_of(df, value, grain))
     slices = Window.partitionBy(*keys).orderBy(F.col(SLICE).asc_nulls_last())
     ends = (
         sliced.groupBy(*keys, SLICE).agg(F.max(value).alias("_end"))
@@ -115,7 +154,7 @@ def exact_quantile(
     q: float = 0.5,
     out: str = "quantile",
     weight: str | None = None,
-    grain: float = 1.0,
+    grain: float | None = 1.0,
 ) -> DataFrame:
     """Exact interpolated ``q``-quantile of ``value`` per key (nulls ignored).
 
@@ -128,7 +167,10 @@ def exact_quantile(
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
         count.cast("long").alias("_w")
     )
-    sliced = counts.withColumn(SLICE, slice_of(counts, value, grain))
+    if grain is None:
+        sliced = even_slices(counts, [*keys, value])
+    else:
+        sliced = counts.withColumn(SLICE, slice_of(counts, value, grain))
     whole = Window.partitionBy(*keys)
     upto = whole.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     position = (F.col("_total") - 1) * F.lit(float(q))

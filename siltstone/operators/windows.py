@@ -47,13 +47,14 @@ def cap_per_key(
     keys: str | Sequence[str],
     n: int | None,
     order_by: str | Sequence[str],
-    grain: float = 1.0,
+    grain: float | None = 1.0,
 ) -> DataFrame:
     """At most ``n`` rows per key, highest by ``order_by`` first. ``None`` keeps all, 0 none.
 
     Counts per slice of the first column tell which slices hold the first ``n``
     rows; only these are ranked, each on its own, whatever ``n`` is. The other
-    columns complete the order. Rows that tie in the first column share a slice.
+    columns complete the order. Rows that tie in the first column share a slice,
+    unless ``grain`` is None (see :mod:`siltstone.operators.skew`).
     """
     if n is None:
         return df
@@ -71,7 +72,7 @@ def with_previous(
     keys: str | Sequence[str],
     ts: str,
     out: str = "prev_date",
-    grain: float = 1.0,
+    grain: float | None = 1.0,
 ) -> DataFrame:
     """Add the previous ``ts`` of the same key (ascending, nulls last).
 
@@ -99,7 +100,7 @@ def gaps(
     keys: str | Sequence[str],
     ts: str,
     out: str = "days_diff",
-    grain: float = 1.0,
+    grain: float | None = 1.0,
 ) -> DataFrame:
     """Rows that follow another of their key, with the days since it."""
     rows = with_previous(df, keys, ts, "_prev", grain)
@@ -111,7 +112,7 @@ def gaps(
 
 
 def gap_counts(
-    df: DataFrame, key: str, ts: str, out: str = "days_diff", grain: float = 1.0, weight: str | None = None
+    df: DataFrame, key: str, ts: str, out: str = "days_diff", grain: float | None = 1.0, weight: str | None = None
 ) -> DataFrame:
     """Gaps in days between consecutive events of a key, as (key, gap, number of gaps).
 
@@ -139,15 +140,6 @@ def gap_counts(
     )
 
 
-def pages_of(items: str, page_rows: int) -> Column:
-    """An array cut into arrays of at most ``page_rows``; null when it is empty."""
-    last = F.floor((F.size(items) - 1) / page_rows).cast("int")
-    pages = F.transform(
-        F.sequence(F.lit(0), last), lambda p: F.slice(items, p * page_rows + 1, F.lit(page_rows))
-    )
-    return F.when(F.size(items) > 0, pages)
-
-
 def ranked_pages(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -156,7 +148,7 @@ def ranked_pages(
     page_rows: int = 10_000,
     ties: Sequence[str] = (),
     out: str = "items",
-    grain: float = 1.0,
+    grain: float | None = 1.0,
 ) -> DataFrame:
     """Per key, all items by ``order_by`` descending as arrays of at most ``page_rows``.
 

@@ -134,7 +134,7 @@ def median_gap_vs_top(
     digits: int | None = 2,
     with_group: bool = False,
     out: str = "median_days",
-    grain: float = 1.0,
+    grain: float | None = 1.0,
 ) -> DataFrame:
     """Median days between consecutive events, for the pinned and the busiest keys.
 

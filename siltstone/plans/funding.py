@@ -19,7 +19,7 @@ def funding_summary(
     funds: DataFrame,
     category_counts: Mapping[str, str] = rules.CATEGORY_COUNTS,
     trim: bool = False,
-    grain: float = 1.0,
+    grain: float | None = 1.0,
 ) -> DataFrame:
     """Metrics of funded proposals by fund, highest fund first.
 

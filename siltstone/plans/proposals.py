@@ -37,27 +37,23 @@ def stage_funds(raw: DataFrame, now: datetime, source: str = SOURCE) -> DataFram
     )
 
 
-# Staged proposal columns -> raw columns.
-PROPOSAL_COLUMNS = {
-    **{c: c for c in (
-        "id", "user_id", "fund_id", "fund_name", "campaign_id", "campaign_name", "ideascale_id",
-        "title", "website", "ideascale_link", "ideascale_user", "problem", "solution",
-        "experience", "amount_requested", "amount_received", "currency", "currency_symbol",
-        "project_status", "funding_status", "average_rating", "yes_votes_count",
-        "no_votes_count", "abstain_votes_count",
-    )},
-    "unique_wallets_voted": "unique_wallets",
-    **{c: c for c in (
-        "ranking_total", "ca_rating", "link", "has_github", "github_links", "categories",
-        "primary_category",
-    )},
-    "proposal_type": "type",
-}
+# The columns of a staged proposal.
+PROPOSAL_COLUMNS = [
+    "id", "user_id", "fund_id", "fund_name", "campaign_id", "campaign_name", "ideascale_id",
+    "title", "website", "ideascale_link", "ideascale_user", "problem", "solution",
+    "experience", "amount_requested", "amount_received", "currency", "currency_symbol",
+    "project_status", "funding_status", "average_rating", "yes_votes_count",
+    "no_votes_count", "abstain_votes_count", "unique_wallets_voted", "ranking_total",
+    "ca_rating", "link", "has_github", "github_links", "categories", "primary_category",
+    "proposal_type",
+]
+# Those that bear another name in the raw rows.
+RAW_NAMES = {"unique_wallets_voted": "unique_wallets", "proposal_type": "type"}
 
 
 def stage_proposals(raw: DataFrame, loaded_at: str = "ingested_at", source: str = SOURCE) -> DataFrame:
     return raw.select(
-        *[F.col(old).alias(new) for new, old in PROPOSAL_COLUMNS.items()],
+        *[F.col(RAW_NAMES.get(c, c)).alias(c) for c in PROPOSAL_COLUMNS],
         F.col(loaded_at).alias("_loaded_at"),
         F.lit(source).alias("_source"),
     )

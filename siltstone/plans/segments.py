@@ -16,6 +16,7 @@ GROUP = ["competition_level", "wallet_type"]
 
 Ladder = Sequence[tuple[str, Sequence[str]]]
 
+# The columns of a segment row.
 SEGMENT_COLUMNS = [
     "id", "title", "fund_name", "fund_title", "wallet_type", "competition_level",
     "funding_category", "amount_requested", "amount_received", "funding_ratio",
@@ -121,7 +122,7 @@ def landscape(
     )
 
 
-def landscape_examples(segments: DataFrame, grain: float = 1.0) -> DataFrame:
+def landscape_examples(segments: DataFrame, grain: float | None = 1.0) -> DataFrame:
     """All funded projects of each group with their place, most received first (from 0)."""
     funded = segments.filter(F.col("funding_category") == rules.FUNDED).select(
         *GROUP, "id", "title",

@@ -38,6 +38,22 @@ def create(df: DataFrame, path: str, keys: str | Sequence[str], order_by: str |
     return versions.read(spark, path)
 
 
+def touched(spark: SparkSession, path: str, updates: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
+    """The stored rows in whose buckets :func:`merge` would put ``updates``, and the table's keys and order.
+
+    Other buckets are not read. What comes to the driver is a number per bucket.
+    """
+    base = versions.latest(spark, path)
+    if base is None or "buckets" not in base.info:
+        raise FileNotFoundError(f"{path} is no bucketed table")
+    keys, n = base.info["keys"], base.info["buckets"]
+    known = {f.name: f.dataType for f in base.schema.fields}
+    cast = updates.select(*[F.col(k).cast(known[k]).alias(k) for k in keys])
+    found = {r[0] for r in cast.select(_bucket_of(keys, n)).distinct().collect()}
+    parts = [p for p in base.parts if p.tags[BUCKET] in found]
+    return versions.read_parts(spark, path, parts, base.schema), keys, base.info["order_by"]
+
+
 def merge(spark: SparkSession, path: str, updates: DataFrame) -> DataFrame:
     """Merge rows into the table: per key the highest by the table's order stays, on equal order the update.
 

@@ -13,6 +13,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+# Field names and types as the exports have them.
 FUNDS = _struct(
     id=LONG, title=TEXT, status=TEXT, amount=LONG, proposals_count=LONG, currency=TEXT,
     currency_symbol=TEXT, launch_date=TEXT, link=TEXT, thumbnail_url=TEXT, slug=TEXT,

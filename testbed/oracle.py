@@ -169,6 +169,12 @@ for _name in ("latest_per_key", "upsert_latest", "merge_into_latest", "bucketed_
 ORACLE["previous_event"] = """select event_id, event_type, ts,
     lag(ts) over (partition by event_type order by ts) as prev_date from events"""
 
+ORACLE["previous_event_even"] = ORACLE["previous_event"]
+
+ORACLE["places_among_ties"] = """select l_returnflag, l_linestatus, l_orderkey, l_linenumber,
+    row_number() over (partition by l_returnflag order by l_linestatus desc nulls last, l_orderkey, l_linenumber) - 1 as place
+from lineitem"""
+
 ORACLE["event_gaps"] = """select event_id, user_id, ts, (epoch_us(ts) - epoch_us(prev)) / 86400e6 as days_diff
 from (select *, lag(ts) over (partition by user_id order by ts) as prev from events)
 where prev is not null"""
@@ -193,6 +199,7 @@ QUANTILE = """select l_returnflag, l_linestatus,
 from lineitem group by 1, 2"""
 ORACLE["quantile_by_key"] = QUANTILE
 ORACLE["quantile_by_key_sliced"] = QUANTILE
+ORACLE["quantile_by_key_even"] = QUANTILE
 
 # --- rules and text ----------------------------------------------------------
 
@@ -514,6 +521,8 @@ ORACLE["cap_per_key_large"] = """select * exclude (n) from (
     from events
 ) where n <= 1500"""
 
+ORACLE["cap_per_key_even"] = ORACLE["cap_per_key_large"]
+
 ORACLE["state_after_run"] = """with late as (
     select distinct cast(user_id as varchar) as repo from events
     where ts >= timestamp '2024-01-15' and value > 60
@@ -681,6 +690,11 @@ ORACLE["stream_upsert"] = """select * exclude (n) from (
     select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events
 ) where n = 1"""
 
+ORACLE["incremental_monthly"] = """select o_orderstatus as status,
+    cast(date_trunc('month', o_orderdate) as timestamp) as month, count(*) as order_count,
+    cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as amount
+from orders group by 1, 2"""
+
 ORACLE["merged_levels"] = ORACLE["stream_upsert"]
 ORACLE["loaded_ranges"] = "select event_id, event_type, 1::bigint as loads from events"
 ORACLE["stream_daily_to_monthly"] = """select event_type,

@@ -15,15 +15,16 @@ from siltstone.functions import (
     any_contains, flag, has_token, label_ladder, link_key, lowered_text, matches_any,
     nested_contains, repo_name, repo_owner,
 )
+from siltstone.functions.temporal import month_of
 from siltstone.operators import incremental as inc
 from siltstone.operators import quality, ranges, reports, sketches, windows
 from siltstone.operators.common import ts_lit
 from siltstone.operators.quality import Suite
-from siltstone.operators.skew import exact_quantile
+from siltstone.operators.skew import exact_quantile, with_place
 from siltstone.plans import activity, funding, mapping, segments
 from siltstone.plans import proposals as plans
 from siltstone.session import workspace
-from siltstone.sources import buckets, landing, logs, schemas, tables
+from siltstone.sources import buckets, landing, logs, rollups, schemas, tables
 from siltstone.streaming import jobs
 from testbed import roles
 from testbed.roles import NOW, table
@@ -168,6 +169,20 @@ def previous_event_sliced(spark, sf):
     return _previous_event(spark, sf, grain=COARSE)
 
 
+@query
+def previous_event_even(spark, sf):
+    """Slices from a sampled order in place of hours."""
+    return _previous_event(spark, sf, grain=None)
+
+
+@query
+def places_among_ties(spark, sf):
+    """Lines numbered per return flag by a column of two values, so that nearly all of them tie."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber")
+    return with_place(
+        lines, "l_returnflag", "l_linestatus", [F.asc("l_orderkey"), F.asc("l_linenumber")], grain=None)
+
+
 @query
 def event_gaps(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "ts")
@@ -212,6 +227,15 @@ def quantile_by_key_sliced(spark, sf):
     return p90.withColumn("p90", F.round("p90", 4))
 
 
+@query
+def quantile_by_key_even(spark, sf):
+    lines = table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_linestatus", roles.cents("l_extendedprice").alias("price")
+    )
+    p90 = exact_quantile(lines, ["l_returnflag", "l_linestatus"], "price", 0.9, "p90", grain=None)
+    return p90.withColumn("p90", F.round("p90", 4))
+
+
 # --- rules and text ----------------------------------------------------------
 
 
@@ -496,6 +520,30 @@ def bucketed_merge(spark, sf):
     return tables.read_table(spark, f"{root}/lines")
 
 
+@query
+def incremental_monthly(spark, sf):
+    """Orders and amounts per status and month, kept up to date over three loads that correct earlier rows.
+
+    The first load dates a third of its orders two months early, another third has no status.
+    Later loads correct them, bring the missing orders, repeat some and bring outdated ones.
+    """
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_orderdate", roles.cents("o_totalprice").alias("amount"), F.lit(1).alias("edition"))
+    of = F.col("o_orderkey") % 3
+    wrong = orders.withColumns({
+        "o_orderdate": F.when(of == 0, F.add_months("o_orderdate", -2).cast("timestamp_ntz")).otherwise(F.col("o_orderdate")),
+        "o_orderstatus": F.when(of != 1, F.col("o_orderstatus")), "amount": F.col("amount") + of, "edition": F.lit(0)})
+    late = F.col("o_orderkey") % 5 == 4
+    root = workspace(spark, "rollup")
+    rollup = rollups.Rollup(
+        {"status": F.col("o_orderstatus"), "month": month_of("o_orderdate")}, {"amount": F.col("amount")})
+    rollups.create(orders, f"{root}/orders", "o_orderkey", "edition", 16)
+    loads = [wrong.filter(~late), orders.filter(late | (of == 0)), orders.filter(of != 0).unionByName(wrong.filter(of == 0))]
+    for batch, updates in enumerate(loads):
+        rollups.load(spark, f"{root}/orders", f"{root}/log", updates, rollup, batch)
+    return rollups.read(spark, f"{root}/log", rollup, "order_count")
+
+
 @query
 def merged_levels(spark, sf):
     """The latest event per user out of ten batches, of which levels have been merged on the way."""
@@ -597,6 +645,11 @@ def cap_per_key_large(spark, sf):
     return windows.cap_per_key(table(spark, sf, "events"), "event_type", 1500, ["ts", "event_id"])
 
 
+@query
+def cap_per_key_even(spark, sf):
+    return windows.cap_per_key(table(spark, sf, "events"), "event_type", 1500, ["ts", "event_id"], grain=None)
+
+
 @query
 def state_after_run(spark, sf):
     events = table(spark, sf, "events").withColumn("repo", F.col("user_id").cast("string"))

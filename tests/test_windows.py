@@ -40,14 +40,14 @@ def previous_by_hand(rows):
     return out
 
 
-@pytest.mark.parametrize("grain", [0.01, 1, 1e6])
+@pytest.mark.parametrize("grain", [0.01, 1, 1e6, None])
 def test_with_previous(events, grain):
     rows, df = events
     got = windows.with_previous(df, "k", "ts", "prev", grain).select("k", "ts", "prev").collect()
     assert Counter(tuple(r) for r in got) == previous_by_hand(rows)
 
 
-@pytest.mark.parametrize("grain", [0.01, 1, 1e6])
+@pytest.mark.parametrize("grain", [0.01, 1, 1e6, None])
 def test_gap_counts(events, grain):
     rows, df = events
     wanted = Counter()
@@ -62,7 +62,7 @@ def test_gap_counts(events, grain):
 
 
 @pytest.mark.parametrize("q", [0.0, 0.5, 0.9, 1.0])
-@pytest.mark.parametrize("grain", [1, 300, 1e6])
+@pytest.mark.parametrize("grain", [1, 300, 1e6, None])
 def test_exact_quantile(events, q, grain):
     rows, df = events
     groups = defaultdict(list)
@@ -72,7 +72,7 @@ def test_exact_quantile(events, q, grain):
     assert got == {k: pytest.approx(np.quantile(v, q)) for k, v in groups.items()}
 
 
-@pytest.mark.parametrize("grain", [1, 1e6])
+@pytest.mark.parametrize("grain", [1, 1e6, None])
 def test_weighted_quantile_ignores_nulls(spark, grain):
     rows = [("x", float(i % 40), 1 + i % 7) for i in range(200)] + [("x", None, 50), ("y", None, 3)]
     df = spark.createDataFrame(rows, "k string, v double, n int")
@@ -98,7 +98,7 @@ def test_slices_follow_the_order(spark, column, made):
 
 
 @pytest.mark.parametrize("page_rows", [7, 100, 10_000])
-@pytest.mark.parametrize("grain", [1, 300, 1e6])
+@pytest.mark.parametrize("grain", [1, 300, 1e6, None])
 def test_ranked_pages_keep_every_item_in_order(events, page_rows, grain):
     rows, df = events
     groups = defaultdict(list)
@@ -115,13 +115,6 @@ def test_ranked_pages_keep_every_item_in_order(events, page_rows, grain):
     assert listed == {k: [i for _, i in sorted(v)] for k, v in groups.items()}
 
 
-def test_pages_of(spark):
-    df = spark.range(1).select(F.sequence(F.lit(1), F.lit(5)).alias("a"), F.expr("array()").alias("e"))
-    row = df.select(windows.pages_of("a", 2), windows.pages_of("e", 2)).first()
-    assert row[0] == [[1, 2], [3, 4], [5]]
-    assert row[1] is None
-
-
 def test_keys_without_any_time_or_with_one_instant(spark):
     rows = [("none", None, i) for i in range(50)] + [("same", START, i) for i in range(50)]
     rows += [("nan", START + timedelta(days=i % 3), i) for i in range(50)]
@@ -205,3 +198,30 @@ def test_pick_keys_agrees_with_pinned_or_top(spark, pinned):
     df = spark.createDataFrame([(k,) for k in [*"ccbbaad", None, None, None]], "k string")
     lazy = {r["k"] for r in key_ops.only_keys(df, key_ops.pinned_or_top(df, "k", 2, pinned), "k").collect()}
     assert {r["k"] for r in key_ops.pick_keys(df, "k", 2, pinned)} == lazy
+
+
+CLOSE = "1e9 + id * 1e-6"
+
+
+@pytest.mark.parametrize("value", ["5", "cast(null as double)", CLOSE, "if(id % 2 = 0, null, 7)"])
+def test_tied_missing_and_close_values_are_dealt_to_many_tasks(spark, value):
+    """One key holds all rows; no slice holds more than twice its part, and places are those of a plain order."""
+    n, parts = 40_000, 20
+    df = spark.range(0, n, 1, 6).select(F.lit("k").alias("k"), "id", F.expr(f"cast({value} as double)").alias("v"))
+    order = ["k", F.col("v").desc_nulls_last(), F.col("id").desc()]
+    held = skew.even_slices(df, order, slices=parts).groupBy(skew.SLICE).count().collect()
+    assert len(held) >= parts - 2 and max(r["count"] for r in held) <= 2 * n / parts
+    rows = df.select("id", "v").collect()
+    best = sorted(rows, key=lambda r: (r.v is None, -(r.v or 0), -r.id))
+    got = skew.with_place(df, "k", "v", [F.col("id").desc()], grain=None).collect()
+    assert {r.id: r.place for r in got} == {r.id: i for i, r in enumerate(best)}
+    capped = windows.cap_per_key(df, "k", 777, ["v", "id"], grain=None).collect()
+    assert {r.id for r in capped} == {r.id for r in best[:777]}
+
+
+def test_even_slices_of_equal_rows_and_no_rows(spark):
+    same = spark.range(0, 900, 1, 5).select(F.lit("k").alias("k"), F.lit(1).alias("v"))
+    assert sorted(r.place for r in skew.with_place(same, "k", "v", grain=None).collect()) == list(range(900))
+    assert skew.with_place(same.limit(0), "k", "v", grain=None).count() == 0
+    assert skew.exact_quantile(same, "k", "v", 0.5, "m", grain=None).first()["m"] == 1.0
+    assert skew.exact_quantile(same.limit(0), "k", "v", 0.5, "m", grain=None).count() == 0
