@@ -2,6 +2,7 @@
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -41,6 +42,14 @@ def test_clean_documents_stay(stages, documents):
     assert ids(stages["language"]) == ids(documents)
 
 
+def test_texts_of_several_languages_stay(spark, documents):
+    by = {r.lang: r.text for r in documents.filter("length(text) > 900").collect()}
+    parts = [by[k][:n] for k, n in zip(sorted(by), (400, 300, 300))]
+    mixed = documents.limit(0).union(documents.limit(1).withColumns({"doc_id": F.lit(-1).cast("long"), "text": F.lit("\n".join(parts))}))
+    more = documents.unionByName(mixed.select(documents.columns))
+    assert len(parts) == 3 and ids(corpus_pipeline.by_language(spark, more, SF)) == sorted([-1, *ids(documents)])
+
+
 def test_one_of_each_group_stays(stages, documents):
     kept = ids(stages["near_copies"])
     assert len(kept) == len(set(kept)) < documents.count()
