@@ -11,10 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import decontaminate, language, mixing, near, shards
-from siltstone.llm.common import read, same_row, save
+from siltstone.llm.common import read, save
 
-# A text stays if one language holds this part of its letters.
-MIN_SCORE = 0.5
 # Part of the tokens that the mixture keeps, and the powers that temper the
 # shares of sources, languages and topics.
 FRACTION = 0.9
@@ -30,9 +28,9 @@ def _only(docs: DataFrame, stays: DataFrame) -> DataFrame:
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language, or with none that holds half of them, go."""
+    """Texts of no language go: null, or without a letter. One that mixes languages is as clean as others and stays."""
     told = save(language.identify(docs, language.learn(language.training_rows(docs))).drop("spans"), "language")
-    return _only(docs, told.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)))
+    return _only(docs, told.filter(F.col("lang_pred") != language.UNKNOWN))
 
 
 def by_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,12 +50,12 @@ def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def by_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with calibrated shares of sources, languages and topics."""
+    """A sample with calibrated shares of sources, languages and topics; nulls are values of their own, no rows give none."""
     return _only(docs, mixing.mix(docs, fraction=FRACTION, powers=POWERS).filter("taken"))
 
 
 def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's shard and place in it."""
+    """Every document's shard and place in it; a null text weighs its overhead only, no rows give none."""
     return shards.shard_documents(docs, more=("lang", "source"))
 
 
