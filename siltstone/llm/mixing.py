@@ -43,7 +43,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
 
     Adds ``weight``: starting from its tokens, every cell is scaled until the
     weights' shares meet the target shares of each column in turn, and so on
-    until no share is off by more than ``close``, or ``sweeps`` are done. ``gap``
+    until no share is off by more than ``close``, or ``sweeps`` are done, or as
+    many more at the last one's pace would not get there. ``gap``
     is the largest difference that is left, the same in each row: above
     ``close`` the weights have not converged, as when targets contradict each
     other. Cells without tokens or of a value without a target weigh nothing.
@@ -56,7 +57,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
         cells = cells.join(share, cells[column].eqNullSafe(share["_v"]), "left").drop("_v")
     cells = save(cells, "cells")
     gap = 0.0
-    for _ in range(sweeps):
+    for sweep in range(sweeps):
         step = cells
         for column in targets:
             sums = step.groupBy(F.col(column).alias("_v")).agg(F.sum("weight").alias("_sum"))
@@ -65,8 +66,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
                 F.col("_sum") > 0, F.col("weight") * F.coalesce(F.col(f"_{column}"), F.lit(0.0)) / F.col("_sum")
             ).otherwise(0.0)).drop("_v", "_sum")
         cells = save(step, "cells")
-        gap = _furthest(cells, list(targets))
-        if gap <= close:
+        last, gap = gap, _furthest(cells, list(targets))
+        if gap <= close or (sweep > 2 and (last - gap) * sweeps < gap - close):
             break
     return cells.drop(*[f"_{c}" for c in targets]).withColumn("gap", F.lit(float(gap)))
 
