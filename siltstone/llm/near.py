@@ -248,21 +248,24 @@ def _verify(least: float):
     return run
 
 
-def bag_bits(h: np.ndarray) -> np.ndarray:
+def bag_bits(h: np.ndarray, combine: np.ufunc = np.bitwise_or) -> np.ndarray:
     """The words of one text, each labelled with its occurrence, as a bitmap of ``BAG_BITS`` bits.
 
     Each bit that one text has and another has not stands for a word of the
-    first that has no partner in the second, so it costs an edit.
+    first that has no partner in the second, so it costs an edit. Combined by
+    ``np.bitwise_xor`` a bit tells whether an odd number of words fell on it:
+    words that two texts share cancel out, so long texts blur it no more than
+    short ones, and no more bits differ than words of both lack a partner.
     """
     bits = _labelled(h, 1) % np.uint64(BAG_BITS)
     out = np.zeros(BAG_BITS // 64, np.uint64)
-    np.bitwise_or.at(out, bits // np.uint64(64), np.uint64(1) << bits % np.uint64(64))
+    combine.at(out, bits // np.uint64(64), np.uint64(1) << bits % np.uint64(64))
     return out
 
 
-def folded(bag: np.ndarray) -> np.ndarray:
-    """The bitmap in ``FOLDED`` words, parts laid over one another: a bit that only one text has is still a word of it."""
-    return np.bitwise_or.reduce(bag.reshape(-1, FOLDED), axis=0)
+def folded(parity: np.ndarray) -> np.ndarray:
+    """The bitmap of odd counts in ``FOLDED`` words: parts laid over one another count together."""
+    return np.bitwise_xor.reduce(parity.reshape(-1, FOLDED), axis=0)
 
 
 BAGS = "th long, bands array<long>, bag array<long>, " + ", ".join(f"b{i} long" for i in range(FOLDED))
@@ -275,7 +278,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, text in enumerate(batch.column("text").to_pylist()):
             if len(known) > 1 << 18:
                 known.clear()
-            bag = bag_bits(_word_hashes(words_of(text), known))
+            bag = bag_bits(_word_hashes(words_of(text), known), np.bitwise_xor)
             bags.append(signed(bag))
             small[i] = folded(bag)
         yield pa.RecordBatch.from_arrays(
@@ -284,16 +287,15 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["th", "bands", "bag", *[f"b{i}" for i in range(FOLDED)]])
 
 
-def _alone(x: str, y: str) -> Column:
-    """Bits of bag ``x`` that bag ``y`` has not."""
-    each = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+def _unlike(x: str, y: str) -> Column:
+    """Bits in which two bitmaps differ."""
+    each = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
     return F.aggregate(each, F.lit(0), lambda total, bits: total + bits)
 
 
-def _alone_folded(x: str, y: str) -> Column:
+def _unlike_folded(x: str, y: str) -> Column:
     """The same of the folded bitmaps, as a plain sum."""
-    return reduce(Column.__add__, [
-        F.bit_count(F.col(f"{x}{i}").bitwiseAND(F.bitwise_not(F.col(f"{y}{i}")))) for i in range(FOLDED)])
+    return reduce(Column.__add__, [F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}"))) for i in range(FOLDED)])
 
 
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -376,10 +378,10 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, count: int, le
     buckets = bands.groupBy("band").agg(F.min("th").alias("pivot"), F.max("th").alias("top"))
     buckets = save(buckets.filter("pivot <> top").drop("top"), "buckets")
     members = save(bands.join(buckets, "band").distinct(), "members")
-    lone = members.select("th").distinct().join(classes, "th")
-    shown = texts.join(lone, (texts["th"] == lone["th"]) & texts["doc_id"].eqNullSafe(lone["id"]))
+    ends = members.select("th").distinct().join(classes, "th")
+    shown = texts.join(ends, (texts["th"] == ends["th"]) & texts["doc_id"].eqNullSafe(ends["id"]))
     # Repeated rows are one text.
-    shown = save(shown.select(lone["th"], "text").dropDuplicates(["th"]), "candidates")
+    shown = save(shown.select(ends["th"], "text").dropDuplicates(["th"]), "candidates")
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = shown.select(F.col("th").alias("a"), F.col("text").alias("text_a"))
@@ -395,8 +397,9 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, count: int, le
     links = verified(save(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs"))
     links = save(links.unionByName(verified(save(_apart(stars, components(links)), "pairs"))), "links")
     rest = _open(members, components(links))
-    # Before a pair is made, words without a partner bound its distance from below: first a small
-    # bitmap, then the whole one; of the buckets that two texts share, the least one makes the pair.
+    # Before a pair is made, words without a partner bound its distance from below: d edits leave at most
+    # 2 d of them, less the difference of the lengths. First a small bitmap tells, then the whole one; of
+    # the buckets that two texts share, the least one makes the pair.
     bags = shown.join(rest.groupBy("th").agg(F.collect_set("band").alias("bands")), "th")
     bags = save(bags.select("th", "text", "bands").mapInArrow(_bags, BAGS), "bags")
     left = save(rest.join(bags, "th"), "members")
@@ -404,8 +407,8 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, count: int, le
         "band", F.col("th").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("bands").alias("bands_b"),
         F.col("bag").alias("bag_b"), *[F.col(f"b{i}").alias(f"c{i}") for i in range(FOLDED)])
     most = F.floor(F.greatest("n", "m") * (1 - least) + 1e-6)
-    near = (F.col("root") < F.col("other")) & fits & (_alone_folded("b", "c") <= most) & (_alone_folded("c", "b") <= most)
-    near = near & (_alone("bag", "bag_b") <= most) & (_alone("bag_b", "bag") <= most)
+    lone = most * 2 - F.abs(F.col("n") - F.col("m"))
+    near = (F.col("root") < F.col("other")) & fits & (_unlike_folded("b", "c") <= lone) & (_unlike("bag", "bag_b") <= lone)
     near = near & (F.array_min(F.array_intersect("bands", "bands_b")) == F.col("band"))
     more = left.join(right, "band").filter(near).select(F.col("th").alias("a"), "b")
     more = save(_untried(more, stars), "pairs")

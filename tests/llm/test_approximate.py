@@ -227,6 +227,30 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.class_id for r in told} == {0, 900} and sum(r.kept for r in told) == 2
 
 
+def test_texts_that_are_too_far_apart_make_no_pairs(spark, monkeypatch):
+    """A long passage in common puts them into the same buckets; a quarter of their words differs."""
+    passage = " ".join(f"p{i}" for i in range(600))
+    rows = [(i, f"{passage} " + " ".join(f"w{i}x{j}" for j in range(200))) for i in range(40)]
+    made = []
+    real = near.save
+    monkeypatch.setattr(near, "save", lambda df, name: made.append((name, saved := real(df, name))) or saved)
+    told = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.kept for r in told)
+    assert [df.count() for name, df in made if name == "pairs"][-1] <= len(rows)
+
+
+def test_odd_bits_never_exceed_the_words_without_a_partner():
+    rng = np.random.default_rng(6)
+    for n in (1, 5, 40, 700, 6000):
+        a = rng.integers(0, max(2, n // 3), n).astype(np.uint64)
+        b = np.delete(a, rng.choice(n, n // 8, replace=False))
+        b[rng.choice(len(b), len(b) // 9, replace=False)] += np.uint64(10**6)
+        edits = n // 8 + len(b) // 9
+        odd = [near.bag_bits(h, np.bitwise_xor) for h in (a, b)]
+        whole = int(np.bitwise_count(odd[0] ^ odd[1]).sum())
+        assert int(np.bitwise_count(near.folded(odd[0]) ^ near.folded(odd[1])).sum()) <= whole <= 2 * edits - (len(a) - len(b))
+
+
 def copies(rng, sizes, edits):
     """(text, copy) with scattered changed words, and for short texts one more word."""
     for n in sizes:
