@@ -670,9 +670,15 @@ def run_manifest_rows(spark, sf):
 # --- landed JSON -------------------------------------------------------------
 
 
+# Rows of a landed file at most.
+LANDED_ROWS = 500_000
+
+
 def _land(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
     root = workspace(df.sparkSession, "landing")
-    df.write.partitionBy(*partition_by).json(f"{root}/{name}")
+    # As text the rows are many times their size. A gzip file is read by one task, so files stay small.
+    writer = df.write.option("compression", "gzip").option("maxRecordsPerFile", LANDED_ROWS)
+    writer.partitionBy(*partition_by).json(f"{root}/{name}")
     return root
 
 
