@@ -385,6 +385,59 @@ def test_lines_with_a_fifth_of_other_words_meet(spark):
     assert all(told[a] == [] and told[b] == [0] for a, b in near_pairs)
 
 
+def test_runs_in_places_that_do_not_fit_make_no_pairs(spark, monkeypatch):
+    # Lines of equal length share a passage, further in by more than a fifth of the line each time.
+    rng = np.random.default_rng(7)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    passage, texts = [word() for _ in range(4)], []
+    for at in (0, 12, 24, 36):
+        words = [word() for _ in range(36)]
+        texts.append(" ".join(words[:at] + passage + words[at:]))
+    tried, verified = [], lines._verified
+    monkeypatch.setattr(lines, "_verified", lambda pairs, *rest: tried.append(pairs.count()) or verified(pairs, *rest))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert all(r.removed == [] for r in lines.repeated_lines(df).collect())
+    assert sum(tried) == 0
+
+
+def test_places_of_runs_against_python(spark):
+    texts = ["a b c d e f g h a b c i j", "é bb ccc " * 9 + "x", " ".join(f"w{i}x" for i in range(40)), "a b a b a b"]
+    df = spark.createDataFrame([(t,) for t in texts], "line string").withColumn("n", F.size(F.split("line", " ")))
+    rows = df.select("line", "n", lines.run_keys(F.col("line"), F.col("n")).alias("k")).select(
+        "line", "n", lines.run_places(F.col("line"), F.col("n"), F.col("k")).alias("p"), F.size("k").alias("keys")).collect()
+    for r in rows:
+        words, want = r.line.split(" "), {}
+        starts = [len(" ".join(words[:i])) + (i > 0) for i in range(len(words))]
+        for k in (3, 2) if r.n <= lines.PAIR_WORDS else (3,):
+            for i in range(len(words) - k + 1):
+                first, _ = want.setdefault(tuple(words[i:i + k]), (starts[i], 0))
+                want[tuple(words[i:i + k])] = first, starts[i]
+        got = sorted((x["first"], x["last"]) for x in r.p)
+        assert len(got) == r.keys
+        assert got == sorted(want.values()) if len(want) <= lines.SKETCH else set(got) <= set(want.values())
+
+
+def test_fingerprints_of_long_lines_against_python(spark):
+    texts = [" ".join(f"w{i * 7 % 1000}" for i in range(n)) for n in (63, 64, 255, 256, 700)]
+    df = spark.createDataFrame([(t,) for t in texts], "line string")
+    words = df.select("line", F.explode(F.split("line", " ")).alias("w")).select("line", F.xxhash64("w").alias("h")).collect()
+    for r in lines.fingerprints(df).collect():
+        hashes = [x.h & (2**64 - 1) for x in words if x.line == r.line]
+        want = sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))
+        assert r.n == len(hashes) and r.sim & (2**64 - 1) == want
+
+
+def test_shared_ends_cost_no_edits(spark):
+    pairs = [("abc", "abd"), ("a", "aa"), ("xabcx", "xbx"), ("été ab", "été b"), ("q" * 70_000 + "r", "q" * 70_000 + "ss"), ("ab", "cd")]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    for r in df.select("x", "y", lines._differing(F.col("x"), F.col("y")).alias("d")).collect():
+        if len(r.x) < 100:
+            assert distance(r.d.x, r.d.y) == distance(r.x, r.y)
+            assert not r.d.x or not r.d.y or (r.d.x[0] != r.d.y[0] and r.d.x[-1] != r.d.y[-1])
+        else:
+            assert len(r.d.x) < 5_000 and distance(r.d.x[-3:], r.d.y[-3:]) == 2
+
+
 def test_lines_of_edge_cases(edges, empty):
     told = lines.repeated_lines(edges).collect()
     assert len(told) == edges.count()
