@@ -438,6 +438,40 @@ def test_shared_ends_cost_no_edits(spark):
             assert len(r.d.x) < 5_000 and distance(r.d.x[-3:], r.d.y[-3:]) == 2
 
 
+def test_run_keys_as_rows(spark):
+    # Keys and places told by rows are those of run_keys and run_places, for each length and for lines that repeat a few runs.
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdé"), int(rng.integers(1, 4))))
+    texts = [" ".join(word() for _ in range(n)) for n in [*range(4, 30), 60, 300, 3000]]
+    texts += ["a b " * 20 + "c", "0 " * 70 + "x", " ".join(f"w{i}x" for i in range(15)) + " y z" * 9, "q r s " * 25_000 + "t"]
+    df = lines.distinct_lines(spark.createDataFrame([(t,) for t in texts], "line string")).cache()
+    met = lines._keys(df).cache()
+    n, line = F.col("n"), F.col("line")
+    keys = df.filter(n >= lines.FUZZY_WORDS).select("id", line, n, lines.run_keys(line, n).alias("k"))
+    assert sorted((r.id, r.bucket) for r in met.collect()) == sorted((r.id, x) for r in keys.collect() for x in set(r.k))
+    want = keys.filter(F.length(line) < 20_000).select("id", F.inline(lines.run_places(line, n, F.col("k"))), F.length(line).alias("size"))
+    got = lines._placed(met, df.filter(F.length(line) < 20_000)).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_letters_bound_the_edits(spark):
+    rng = np.random.default_rng(12)
+    pairs = [("".join(rng.choice(list("abcdé "), int(n))), "".join(rng.choice(list("bcdez0 "), int(m)))) for n, m in rng.integers(0, 30, (60, 2))]
+    pairs += [("abc", "abc"), ("abc", "bcd"), ("aab", ""), ("zz top", "top zz")]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    told = df.select("x", "y", lines._letters_apart(lines._letters(F.col("x")), lines._letters(F.col("y"))).alias("d")).collect()
+    assert all(r.d <= distance(r.x, r.y) for r in told)
+    assert [r.d for r in told[-4:]] == [0, 1, 3, 0]
+
+
+def test_normalised_lines_keep_their_form(spark):
+    texts = ["a b", "a  b", " a - b ", "a -b", "a- b", "a -- \t b", "A1 2b", "x\n - \n y  \nz", "  ", "Ж1-2é  \r\n ٣٤", "a\u00a0b \u2003c", " \n ", "-", "a,b. c!"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.regexp_replace(F.regexp_replace(F.lower("t"), r"[^\p{L}\p{N}\n]+", " "), r"\p{N}+", "0")
+    for r in df.select("t", lines.normalised(F.col("t")).alias("got"), plain.alias("want")).collect():
+        assert r.got == r.want
+
+
 def test_lines_of_edge_cases(edges, empty):
     told = lines.repeated_lines(edges).collect()
     assert len(told) == edges.count()
